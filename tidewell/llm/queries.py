@@ -9,6 +9,11 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .token_counts import token_counts
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,7 +30,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, s AS text_sha256 F
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op7_exact_dedup": op7_exact_dedup}
+    return {"op3_token_counts": op3_token_counts, "op7_exact_dedup": op7_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
