@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .packing import pack
 from .token_counts import token_counts
 
 
@@ -16,6 +17,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -30,7 +35,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, s AS text_sha256 F
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_token_counts": op3_token_counts, "op7_exact_dedup": op7_exact_dedup}
+    return {"op3_token_counts": op3_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op7_exact_dedup": op7_exact_dedup}
 
 
 def oracle_sql() -> dict[str, str]:
