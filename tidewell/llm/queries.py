@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .langid import language_id
 from .packing import pack
 from .token_counts import token_counts
 
@@ -25,6 +26,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(table(spark, sf_dir, "documents"))
+
+
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP7_SQL = f"""
@@ -35,7 +40,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, s AS text_sha256 F
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_token_counts": op3_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op7_exact_dedup": op7_exact_dedup}
+    return {"op3_token_counts": op3_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
