@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 from .common import table
 from .exact_dedup import exact_dedup
 from .langid import language_id
+from .license_scan import license_scan
 from .packing import pack
 from .token_counts import token_counts
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
@@ -40,7 +45,7 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, s AS text_sha256 F
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op3_token_counts": op3_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id}
+    return {"op2_license_scan": op2_license_scan, "op3_token_counts": op3_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
