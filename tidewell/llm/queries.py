@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .chat import chat_report, text_part
 from .common import table
 from .exact_dedup import exact_dedup
 from .langid import language_id
@@ -23,6 +24,13 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    return chat_report(rows.unionByName(extra).select("conv_id", "turn", "role", text_part(F.col("text")).alias("parts")))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -43,10 +51,26 @@ g AS (SELECT s, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY s
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, s AS text_sha256 FROM n JOIN g USING (s)
 """
 
+_ESC = "replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '[', '&lsqb;')"
+
+OP4_SQL = f"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+g AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS learned,
+    sum(length({_ESC.format("role")}) + length({_ESC.format("text")}) + 23) AS formatted_chars
+  FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_chars, sha256(learned) AS loss_sha256,
+  cast(formatted_chars AS BIGINT) AS formatted_chars FROM g
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_license_scan": op2_license_scan, "op3_token_counts": op3_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id}
+    return {"op2_license_scan": op2_license_scan, "op3_token_counts": op3_token_counts, "op4_chat_format": op4_chat_format, "op5_best_fit_packing": op5_best_fit_packing, "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_dedup": OP7_SQL}
+    return {"op4_chat_format": OP4_SQL, "op7_exact_dedup": OP7_SQL}
