@@ -12,10 +12,15 @@ from .common import table
 from .exact_dedup import exact_dedup
 from .langid import language_id
 from .license_scan import license_scan
+from .minhash import minhash_groups
 from .packing import pack
 from .token_counts import token_counts
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
@@ -69,7 +74,7 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_license_scan": op2_license_scan, "op3_token_counts": op3_token_counts, "op4_chat_format": op4_chat_format, "op5_best_fit_packing": op5_best_fit_packing, "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id}
+    return {"op1_minhash_dedup": op1_minhash_dedup, "op2_license_scan": op2_license_scan, "op3_token_counts": op3_token_counts, "op4_chat_format": op4_chat_format, "op5_best_fit_packing": op5_best_fit_packing, "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
