@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .chat import chat_report, text_part
 from .common import table
+from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .langid import language_id
 from .license_scan import license_scan
@@ -40,6 +41,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -74,7 +79,7 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash_dedup": op1_minhash_dedup, "op2_license_scan": op2_license_scan, "op3_token_counts": op3_token_counts, "op4_chat_format": op4_chat_format, "op5_best_fit_packing": op5_best_fit_packing, "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id}
+    return {"op1_minhash_dedup": op1_minhash_dedup, "op2_license_scan": op2_license_scan, "op3_token_counts": op3_token_counts, "op4_chat_format": op4_chat_format, "op5_best_fit_packing": op5_best_fit_packing, "op6_decontaminate": op6_decontaminate, "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id}
 
 
 def oracle_sql() -> dict[str, str]:
