@@ -15,7 +15,9 @@ from .langid import language_id
 from .license_scan import license_scan
 from .minhash import minhash_groups
 from .packing import pack
+from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
+from .toxicity import toxicity
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,6 +55,14 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP7_SQL = f"""
@@ -79,7 +89,11 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash_dedup": op1_minhash_dedup, "op2_license_scan": op2_license_scan, "op3_token_counts": op3_token_counts, "op4_chat_format": op4_chat_format, "op5_best_fit_packing": op5_best_fit_packing, "op6_decontaminate": op6_decontaminate, "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id}
+    return {
+        "op1_minhash_dedup": op1_minhash_dedup, "op2_license_scan": op2_license_scan, "op3_token_counts": op3_token_counts,
+        "op4_chat_format": op4_chat_format, "op5_best_fit_packing": op5_best_fit_packing, "op6_decontaminate": op6_decontaminate,
+        "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id, "op9_suffix_dedup": op9_suffix_dedup, "op10_toxicity": op10_toxicity,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
