@@ -5,7 +5,7 @@ from itertools import combinations
 import numpy as np
 
 from tidewell.llm.components import connected_components
-from tidewell.llm.minhash import minhash_groups, permute
+from tidewell.llm.minhash import keep_one_of_each, minhash_groups, permute
 
 
 def shingles(text):
@@ -65,6 +65,17 @@ def test_repeated_and_null_ids(documents):
     assert got == [(0, 0, True), (0, 1, False), (1, 1, True), (1, 1, True), (1, 1, True), (2, 1, False)]
 
 
+def test_one_of_each_group_stays(documents):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [(5, long), (3, long.replace("w30", "x")), (3, long.replace("w31", "y")), (7, None), (8, ""), (8, ""), (None, "a null id with words"), (None, "another null id with words"), (9, "a b"), (9, "a b")]
+    docs = documents(rows)
+    kept = keep_one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id or 0), len(r.text or "")) for r in kept.collect())
+    assert [i for i, _ in got] == [0, 0, 3, 7, 8, 8, 9]
+    assert keep_one_of_each(docs.limit(0)).collect() == []
+
+
 def test_empty_table(documents):
     assert minhash_groups(documents([(1, "a")]).limit(0)).collect() == []
 

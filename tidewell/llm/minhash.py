@@ -83,7 +83,7 @@ def _set_keys(value: np.ndarray, starts: np.ndarray) -> list[bytes]:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, key of the set, bands (null for an empty set) of every row."""
+    """doc_id, mark of the text, n_shingles, key of the set, bands (null for an empty set) of every row."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -104,11 +104,11 @@ def described(docs: DataFrame) -> DataFrame:
             for i, key, band in zip(rows.tolist(), _set_keys(value, starts) if len(starts) else [], bands.astype(np.int64), strict=True):
                 keys[i], made[i] = key, band
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(made, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "key", "bands"])
+                [block.column("doc_id"), block.column("mark"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(made, pa.list_(pa.int64()))],
+                ["doc_id", "mark", "n_shingles", "key", "bands"])
 
-    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    return rows.mapInArrow(describe, "doc_id long, n_shingles long, key binary, bands array<long>")
+    rows = docs.selectExpr("cast(doc_id as long) doc_id", "text", "xxhash64(text) mark")
+    return rows.mapInArrow(describe, "doc_id long, mark long, n_shingles long, key binary, bands array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -193,14 +193,31 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
 
 def minhash_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, key of every row; linked at ``percent`` Jaccard."""
+    """doc_id, n_shingles, component_id, kept, component, mark of every row; linked at ``percent`` Jaccard."""
     rows = stored(described(docs), "sets")
     grouped = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     classes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
     label = stored(connected_components(_links(docs, classes, percent)), "labels")
     named = classes.join(label, "node", "left").select("key", "rep", F.coalesce("component", "node").alias("component"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_key = named.join(least, "component").select("key", "component_id")
-    joined = rows.select("doc_id", "n_shingles", "key").join(of_key, "key", "left")
+    of_key = named.join(least, "component").select("key", "component_id", "component")
+    joined = rows.select("doc_id", "mark", "n_shingles", "key").join(of_key, "key", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "key")
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "component", "mark")
+
+
+def keep_one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that stay: one of each group of near copies, and all without words.
+
+    It is a row with the group's least doc_id; where several rows have it, one of them.
+    """
+    groups = minhash_groups(docs, percent).filter("kept")
+    one = groups.filter("n_shingles > 0").groupBy("component", "doc_id", "mark").agg(F.count(F.lit(1)).alias("copies"))
+    one = one.groupBy("component").agg(F.min(F.struct("mark", "doc_id", "copies")).alias("row")).select("row.*")
+    bare = groups.filter("n_shingles = 0").select("mark", "doc_id").distinct().select("mark", "doc_id", F.lit(1).cast("long").alias("copies"))
+    keys = stored(one.unionByName(bare), "kept").select(F.col("mark").alias("_mark"), F.col("doc_id").alias("_doc_id"), F.col("copies").alias("_copies"))
+    joined = docs.join(keys, (F.xxhash64("text") == F.col("_mark")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc_id")))
+    once = joined.filter("_copies = 1").select(*docs.columns)
+    if keys.filter("_copies > 1").isEmpty():
+        return once
+    return once.unionByName(joined.filter("_copies > 1").dropDuplicates(["_doc_id", "_mark"]).select(*docs.columns))
