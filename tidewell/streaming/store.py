@@ -121,11 +121,14 @@ class SnapshotStore:
         if not touched:
             return None
         before, after = Observation(), Observation()
-        target = self.read(buckets=touched).observe(before, F.count(F.lit(1)).alias("rows"))
+        known = bool(latest) and bool(touched & {int(b) for b in latest["buckets"]})
+        target = self.read(buckets=touched)
+        if known:  # an empty relation would be optimised away together with its observation
+            target = target.observe(before, F.count(F.lit(1)).alias("rows"))
         version = latest["version"] + 1 if latest else 0
         changed = plan.apply(target).observe(after, F.count(F.lit(1)).alias("rows"))
         written = self._write(changed, version)
-        old, new = (before.get["rows"] if latest else 0), after.get["rows"]
+        old, new = (before.get["rows"] if known else 0), after.get["rows"]
         held = (latest["buckets"] if latest else {}) | {b: version for b in written}
         if not written and not latest:
             return None
