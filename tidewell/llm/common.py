@@ -5,11 +5,14 @@ from __future__ import annotations
 import string
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIRS: dict[str, str] = {}
+_SHIPPED: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,7 +45,21 @@ def lower_ascii(col: Column) -> Column:
     return F.translate(col, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once for each application."""
+    if spark.sparkContext.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="tidewell-code-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
