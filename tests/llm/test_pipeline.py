@@ -100,10 +100,10 @@ def test_run_is_all_stages(spark, steps):
 
 
 def test_odd_rows(spark, documents, tmp_path):
-    docs = documents([(1, None), (2, ""), (2, ""), (None, "words of a null id here"), (3, "the one and only text here", "en"), (3, "the one and only text here", "en"), (4, "word " * 50_000, "en")])
+    docs = documents([(1, None), (2, ""), (2, ""), (None, "words of a null id here"), (9, "the one and only text here", "en"), (9, "the one and only text here", "en"), (10, "word " * 50_000, "en")])
     spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     for name, stage in corpus_pipeline.STAGES:
         whole, none = stage(spark, docs, str(tmp_path)), stage(spark, docs.limit(0), str(tmp_path))
         assert none.collect() == [] and whole.count() > 0
         docs = whole if name != "best_fit_packing" else docs
-    assert sorted(r.doc_id or 0 for r in docs.collect()) == [0, 3, 4]
+    assert sorted(r.doc_id or 0 for r in docs.collect()) == [0, 9, 10]

@@ -6,15 +6,16 @@
    once, pi is shifted circularly by k for coordinate k, so coordinate k is the minimum of
    pi(sigma(x) + k).  Coordinates are banded; classes that share a band share a bucket.
 3. Links.  In every bucket the hub is compared with the other members, never all pairs.  Members
-   whose component differs from the hub's afterwards (strays) are then compared with all members
-   of other components: rounds of further hubs thin the strays out first where they are many, and
-   the last pass compares every remaining stray.  So each pair in a bucket is either verified on
-   the full sets or already in one component, and no link is lost once a bucket holds it.
+   whose component differs from others afterwards (strays) meet further hubs where they are many,
+   a few in each round, and the last pass compares every remaining stray with all members of other
+   components.  So each pair in a bucket is either compared or already in one component, and no
+   link is lost once a bucket holds it.  Comparing starts with the lowest bits of all coordinates:
+   pairs too far apart to be similar (by SIGMAS standard deviations) need no full sets.
 4. Components of the verified links give the groups.
 
-A pair of similarity 0.85 shares no band with probability (1 - 0.85**4)**32 < 1e-10, one of 0.8
-with probability < 1e-7; hubs and strays with hot buckets are spread by joins that split skewed
-keys, and buckets hold node numbers only.
+A pair of similarity 0.85 shares no band with probability (1 - 0.85**6)**40 < 1e-8, one of 0.8
+with probability < 1e-5, and either differs in too many bits with probability < 1e-11; hubs and
+strays with hot buckets are spread by joins that split skewed keys, and buckets hold numbers only.
 
 Edge cases: null text, empty text and text without words have an empty set, n_shingles 0, and are
 a group of their own; rows that repeat a doc_id are rows of their own; a null doc_id never names a
@@ -35,11 +36,13 @@ from .blocks import LOWER, SPACE_BREAKS, U64, blocks, mix, prefix_hashes, span_h
 from .common import stored
 from .components import connected_components
 
-ROWS_PER_BAND, BANDS = 4, 32
+ROWS_PER_BAND, BANDS = 6, 40
 U32 = np.uint32
 #: Pairs of strays and members compared in the last pass, for each bucket entry that is open.
 PASS_PAIRS = 4
-MAX_HUB_ROUNDS = 8
+HUB_ROUNDS, HUBS = 3, 4
+#: A pair is verified unless its sketches differ in more bits than SIGMAS standard deviations allow.
+SIGMAS = 7
 
 
 def permute(x: np.ndarray, seed: int) -> np.ndarray:
@@ -83,7 +86,7 @@ def _set_keys(value: np.ndarray, starts: np.ndarray) -> list[bytes]:
 
 
 def described(docs: DataFrame) -> DataFrame:
-    """doc_id, mark of the text, n_shingles, key of the set, bands (null for an empty set) of every row."""
+    """doc_id, mark of the text, n_shingles, key of the set, bands and sketch (null for an empty set) of every row."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -98,17 +101,21 @@ def described(docs: DataFrame) -> DataFrame:
                 for k in range(b * ROWS_PER_BAND, (b + 1) * ROWS_PER_BAND):
                     acc = mix(acc * U64(0x9E3779B97F4A7C15) + sig[k])
                 bands[:, b] = acc
+            bits = np.zeros((-(-len(sig) // 64) * 64, len(starts)), np.uint8)
+            bits[: len(sig)] = sig & U64(1)
+            sketch = np.packbits(bits, axis=0, bitorder="little").T.copy().view("<i8") if len(starts) else np.zeros((0, 0), np.int64)
             n = np.bincount(owner, minlength=block.num_rows)
             keys: list[bytes | None] = [None] * block.num_rows
             made: list[np.ndarray | None] = [None] * block.num_rows
-            for i, key, band in zip(rows.tolist(), _set_keys(value, starts) if len(starts) else [], bands.astype(np.int64), strict=True):
-                keys[i], made[i] = key, band
+            drawn: list[np.ndarray | None] = [None] * block.num_rows
+            for i, key, band, drawing in zip(rows.tolist(), _set_keys(value, starts) if len(starts) else [], bands.astype(np.int64), sketch, strict=True):
+                keys[i], made[i], drawn[i] = key, band, drawing
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), block.column("mark"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(made, pa.list_(pa.int64()))],
-                ["doc_id", "mark", "n_shingles", "key", "bands"])
+                [block.column("doc_id"), block.column("mark"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(made, pa.list_(pa.int64())), pa.array(drawn, pa.list_(pa.int64()))],
+                ["doc_id", "mark", "n_shingles", "key", "bands", "sketch"])
 
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text", "xxhash64(text) mark")
-    return rows.mapInArrow(describe, "doc_id long, mark long, n_shingles long, key binary, bands array<long>")
+    return rows.mapInArrow(describe, "doc_id long, mark long, n_shingles long, key binary, bands array<long>, sketch array<long>")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -157,45 +164,64 @@ def _candidate_texts(docs: DataFrame, classes: DataFrame, entries: DataFrame) ->
     return found.dropDuplicates(["node"]) if docs.select("doc_id").distinct().count() < docs.count() else found
 
 
+def _close(percent: int) -> str:
+    """The condition that the pair (nu, su), (nv, sv) of set sizes and sketches may be similar."""
+    n, p = ROWS_PER_BAND * BANDS, (1 - percent / 100) / 2
+    bits = int(n * p + SIGMAS * (n * p * (1 - p)) ** 0.5)
+    apart = " + ".join(f"bit_count(su[{i}] ^ sv[{i}])" for i in range(-(-n // 64)))
+    return f"least(nu, nv) * 100 >= greatest(nu, nv) * {percent} and {apart} <= {bits}"
+
+
+def _near(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
+    """The pairs (u, v) in different components that may be similar, each once."""
+    once = pairs.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
+    sides = [info.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("component").alias(f"c{x}")) for x in ("u", "v")]
+    return once.join(sides[0], "u").join(sides[1], "v").filter(f"cu <> cv and {_close(percent)}").select("u", "v")
+
+
 def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Verified links (u, v) between classes, enough to connect all that are linked."""
-    entry = classes.select("node", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
-    hubs = entry.groupBy("bucket").agg(F.min("node").alias("hub"), F.min_by("n", "node").alias("hub_n"), F.count(F.lit(1)).alias("size")).filter("size > 1")
-    entries = stored(entry.join(hubs, "bucket").select("bucket", "node", "n", "hub", "hub_n"), "entries")
+    entry = classes.select("node", F.explode("bands").alias("bucket"))
+    hubs = entry.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
+    entries = stored(entry.join(hubs, "bucket").select("bucket", "node", "hub"), "entries")
     texts = stored(_candidate_texts(docs, classes, entries), "texts")
-    close = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
-    pairs = entries.filter(F.col("node") != F.col("hub")).filter(close).select(F.col("hub").alias("u"), F.col("node").alias("v")).distinct()
-    links = stored(_verified(pairs, texts, percent), "links")
-    for t in range(MAX_HUB_ROUNDS + 1):
-        label = stored(connected_components(links), "labels")
-        marked = entries.select("bucket", "node", "n").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        by_part = marked.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct(F.xxhash64("node", F.lit(t)).alias("h"), "node", "n")).alias("hub"))
-        total = by_part.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.sum("size").alias("all"), F.max_by("component", F.struct("size", "component")).alias("main"), F.max("size").alias("main_size"), F.min("hub").alias("hub"), F.min_by("component", "hub").alias("hub_component"))
+    info = classes.select("node", F.col("n_shingles").alias("n"), "sketch")
+    pairs = entries.select(F.col("hub").alias("u"), F.col("node").alias("v"))
+    links = stored(_verified(_near(pairs, info.withColumn("component", F.col("node")), percent), texts, percent), "links")
+    for t in range(HUB_ROUNDS + 1):
+        label = connected_components(links)
+        known = stored(info.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")), "known")
+        marked = entries.select("bucket", "node").join(known.select("node", "component"), "node")
+        draws = [F.xxhash64("node", F.lit(t * HUBS + i)) for i in range(HUBS)]
+        by_part = marked.groupBy("bucket", "component").agg(
+            F.count(F.lit(1)).alias("size"), *(F.min_by("node", d).alias(f"hub{i}") for i, d in enumerate(draws)), *(F.min(d).alias(f"draw{i}") for i, d in enumerate(draws)))
+        total = by_part.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("parts"), F.sum("size").alias("all"), F.max_by("component", "size").alias("main"), F.max("size").alias("main_size"),
+            *(F.min_by(f"hub{i}", f"draw{i}").alias(f"hub{i}") for i in range(HUBS)))
         mixed = stored(total.filter("parts > 1"), "mixed")
         work = mixed.agg(F.sum((F.col("all") - F.col("main_size")) * F.col("all")).alias("pairs"), F.sum("all").alias("rows")).first()
         if not work["rows"]:
             return links
         opened = marked.join(mixed, "bucket")
-        last = t == MAX_HUB_ROUNDS or work["pairs"] <= PASS_PAIRS * work["rows"]
+        last = t == HUB_ROUNDS or work["pairs"] <= PASS_PAIRS * work["rows"]
         if last:
-            strays = opened.filter("component <> main").select("bucket", F.col("node").alias("u"), F.col("n").alias("nu"), F.col("component").alias("cu"))
-            others = opened.select("bucket", F.col("node").alias("v"), F.col("n").alias("nv"), F.col("component").alias("cv"), "main")
-            met = strays.join(others, "bucket").filter("cu <> cv and (cv = main or u < v)")
+            rows = opened.select("bucket", "node", "main").join(known, "node")
+            sides = [rows.select("bucket", F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"), F.col("component").alias(f"c{x}"), F.col("main").alias(f"m{x}")) for x in ("u", "v")]
+            met = sides[0].filter("cu <> mu").join(sides[1], "bucket").filter(f"cu <> cv and (cv = mu or u < v) and {_close(percent)}").select("u", "v")
+            tried = met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         else:
-            met = opened.filter("component <> hub_component").select(F.col("hub.node").alias("u"), F.col("hub.n").alias("nu"), F.col("node").alias("v"), F.col("n").alias("nv"))
-        met = met.filter(F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent)
-        tried = met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-        more = stored(_verified(tried, texts, percent), "links")
-        links = links.unionByName(more)
+            met = opened.select(F.col("node").alias("v"), F.explode(F.array(*(f"hub{i}" for i in range(HUBS)))).alias("u"))
+            tried = _near(met, known, percent)
+        links = links.unionByName(stored(_verified(tried, texts, percent), "links"))
         if last:
-            return links
+            break
     return links
 
 
 def minhash_groups(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, component, mark of every row; linked at ``percent`` Jaccard."""
     rows = stored(described(docs), "sets")
-    grouped = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    grouped = rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
     label = stored(connected_components(_links(docs, classes, percent)), "labels")
     named = classes.join(label, "node", "left").select("key", "rep", F.coalesce("component", "node").alias("component"))
