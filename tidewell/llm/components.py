@@ -22,6 +22,12 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return others.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether the edges are stars: every node points at one other, which points nowhere."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    return ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into")).filter("out > 1 or out = 1 and into = 1").isEmpty()
+
+
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) of all nodes of ``links`` (u long, v long); component is the least node.
 
@@ -30,12 +36,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     """
     edges = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct()
     edges = stored(edges, "edges")
-    mark = None
-    while True:
+    while not _settled(edges):
         edges = stored(_small_star(_large_star(edges)), "edges")
-        seen = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.sum(F.hash("u", "v").cast("long"))).first()
-        if seen == mark:
-            break
-        mark = seen
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -9,8 +9,9 @@
    whose component differs from others afterwards (strays) meet further hubs where they are many,
    a few in each round, and the last pass compares every remaining stray with all members of other
    components.  So each pair in a bucket is either compared or already in one component, and no
-   link is lost once a bucket holds it.  Comparing starts with the lowest bits of all coordinates:
-   pairs too far apart to be similar (by SIGMAS standard deviations) need no full sets.
+   link is lost once a bucket holds it.  Pairs need no full sets if they are too far apart by the
+   lowest bits of all coordinates (by SIGMAS standard deviations) or by their sets' bitmaps, which
+   bound the intersection exactly.
 4. Components of the verified links give the groups.
 
 A pair of similarity 0.85 shares no band with probability (1 - 0.85**6)**40 < 1e-8, one of 0.8
@@ -43,6 +44,8 @@ PASS_PAIRS = 4
 HUB_ROUNDS, HUBS = 3, 4
 #: A pair is verified unless its sketches differ in more bits than SIGMAS standard deviations allow.
 SIGMAS = 7
+#: Longs in the bitmap of a set; a bit that only one set has is a shingle that only it has.
+BITMAP_LONGS = 32
 
 
 def permute(x: np.ndarray, seed: int) -> np.ndarray:
@@ -104,11 +107,14 @@ def described(docs: DataFrame) -> DataFrame:
             bits = np.zeros((-(-len(sig) // 64) * 64, len(starts)), np.uint8)
             bits[: len(sig)] = sig & U64(1)
             sketch = np.packbits(bits, axis=0, bitorder="little").T.copy().view("<i8") if len(starts) else np.zeros((0, 0), np.int64)
+            maps = np.zeros((len(starts), BITMAP_LONGS * 64), np.uint8)
+            maps[np.searchsorted(rows, owner), (value >> U64(40)).astype(np.int64) % (BITMAP_LONGS * 64)] = 1
+            bitmap = np.packbits(maps, axis=1, bitorder="little").view("<i8")
             n = np.bincount(owner, minlength=block.num_rows)
             keys: list[bytes | None] = [None] * block.num_rows
             made: list[np.ndarray | None] = [None] * block.num_rows
             drawn: list[np.ndarray | None] = [None] * block.num_rows
-            for i, key, band, drawing in zip(rows.tolist(), _set_keys(value, starts) if len(starts) else [], bands.astype(np.int64), sketch, strict=True):
+            for i, key, band, drawing in zip(rows.tolist(), _set_keys(value, starts) if len(starts) else [], bands.astype(np.int64), np.concatenate([sketch, bitmap], axis=1) if len(starts) else [], strict=True):
                 keys[i], made[i], drawn[i] = key, band, drawing
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id"), block.column("mark"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(made, pa.list_(pa.int64())), pa.array(drawn, pa.list_(pa.int64()))],
@@ -165,11 +171,17 @@ def _candidate_texts(docs: DataFrame, classes: DataFrame, entries: DataFrame) ->
 
 
 def _close(percent: int) -> str:
-    """The condition that the pair (nu, su), (nv, sv) of set sizes and sketches may be similar."""
+    """The condition that the pair (nu, su), (nv, sv) of set sizes and sketches may be similar.
+
+    A sketch is the lowest bits of the coordinates followed by the bitmap of the set.
+    """
     n, p = ROWS_PER_BAND * BANDS, (1 - percent / 100) / 2
-    bits = int(n * p + SIGMAS * (n * p * (1 - p)) ** 0.5)
-    apart = " + ".join(f"bit_count(su[{i}] ^ sv[{i}])" for i in range(-(-n // 64)))
-    return f"least(nu, nv) * 100 >= greatest(nu, nv) * {percent} and {apart} <= {bits}"
+    bits, longs = int(n * p + SIGMAS * (n * p * (1 - p)) ** 0.5), -(-ROWS_PER_BAND * BANDS // 64)
+    apart = " + ".join(f"bit_count(su[{i}] ^ sv[{i}])" for i in range(longs))
+    places = range(longs, longs + BITMAP_LONGS)
+    only_u, only_v = (" + ".join(f"bit_count({a}[{i}] & ~{b}[{i}])" for i in places) for a, b in (("su", "sv"), ("sv", "su")))
+    both = f"least(nu - ({only_u}), nv - ({only_v}))"
+    return f"least(nu, nv) * 100 >= greatest(nu, nv) * {percent} and {apart} <= {bits} and {both} * {100 + percent} >= (nu + nv) * {percent}"
 
 
 def _near(pairs: DataFrame, info: DataFrame, percent: int) -> DataFrame:
@@ -197,7 +209,7 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             F.count(F.lit(1)).alias("size"), *(F.min_by("node", d).alias(f"hub{i}") for i, d in enumerate(draws)), *(F.min(d).alias(f"draw{i}") for i, d in enumerate(draws)))
         total = by_part.groupBy("bucket").agg(
             F.count(F.lit(1)).alias("parts"), F.sum("size").alias("all"), F.max_by("component", "size").alias("main"), F.max("size").alias("main_size"),
-            *(F.min_by(f"hub{i}", f"draw{i}").alias(f"hub{i}") for i in range(HUBS)))
+            *(F.min_by(f"hub{i}", f"draw{i}").alias(f"hub{i}") for i in range(HUBS)), *(F.min_by("component", f"draw{i}").alias(f"part{i}") for i in range(HUBS)))
         mixed = stored(total.filter("parts > 1"), "mixed")
         work = mixed.agg(F.sum((F.col("all") - F.col("main_size")) * F.col("all")).alias("pairs"), F.sum("all").alias("rows")).first()
         if not work["rows"]:
@@ -210,7 +222,8 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             met = sides[0].filter("cu <> mu").join(sides[1], "bucket").filter(f"cu <> cv and (cv = mu or u < v) and {_close(percent)}").select("u", "v")
             tried = met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         else:
-            met = opened.select(F.col("node").alias("v"), F.explode(F.array(*(f"hub{i}" for i in range(HUBS)))).alias("u"))
+            hubs_of = F.filter(F.array(*(F.struct(F.col(f"hub{i}").alias("u"), F.col(f"part{i}").alias("part")) for i in range(HUBS))), lambda h: h["part"] != F.col("component"))
+            met = opened.select(F.col("node").alias("v"), F.explode(hubs_of).alias("h")).select("v", "h.u")
             tried = _near(met, known, percent)
         links = links.unionByName(stored(_verified(tried, texts, percent), "links"))
         if last:
