@@ -7,7 +7,7 @@
    pi(sigma(x) + k).  Coordinates are banded; classes that share a band share a bucket.
 3. Links.  In every bucket the hub is compared with the other members, never all pairs.  Members
    whose component differs from others afterwards (strays) meet further hubs where they are many,
-   a few in each round, and the last pass compares every remaining stray with all members of other
+   one a bucket in each round, and the last pass compares every remaining stray with all members of other
    components.  So each pair in a bucket is either compared or already in one component, and no
    link is lost once a bucket holds it.  Pairs need no full sets if they are too far apart by the
    lowest bits of all coordinates (by SIGMAS standard deviations) or by their sets' bitmaps, which
@@ -41,11 +41,11 @@ ROWS_PER_BAND, BANDS = 6, 40
 U32 = np.uint32
 #: Pairs of strays and members compared in the last pass, for each bucket entry that is open.
 PASS_PAIRS = 4
-HUB_ROUNDS, HUBS = 3, 4
+HUB_ROUNDS, HUBS = 2, 1
 #: A pair is verified unless its sketches differ in more bits than SIGMAS standard deviations allow.
 SIGMAS = 7
 #: Longs in the bitmap of a set; a bit that only one set has is a shingle that only it has.
-BITMAP_LONGS = 32
+BITMAP_LONGS = 16
 
 
 def permute(x: np.ndarray, seed: int) -> np.ndarray:
@@ -200,10 +200,11 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     info = classes.select("node", F.col("n_shingles").alias("n"), "sketch")
     pairs = entries.select(F.col("hub").alias("u"), F.col("node").alias("v"))
     links = stored(_verified(_near(pairs, info.withColumn("component", F.col("node")), percent), texts, percent), "links")
+    members = entries.select("bucket", "node")
     for t in range(HUB_ROUNDS + 1):
         label = connected_components(links)
         known = stored(info.join(label, "node", "left").withColumn("component", F.coalesce("component", "node")), "known")
-        marked = entries.select("bucket", "node").join(known.select("node", "component"), "node")
+        marked = members.join(known.select("node", "component"), "node")
         draws = [F.xxhash64("node", F.lit(t * HUBS + i)) for i in range(HUBS)]
         by_part = marked.groupBy("bucket", "component").agg(
             F.count(F.lit(1)).alias("size"), *(F.min_by("node", d).alias(f"hub{i}") for i, d in enumerate(draws)), *(F.min(d).alias(f"draw{i}") for i, d in enumerate(draws)))
@@ -214,7 +215,9 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         work = mixed.agg(F.sum((F.col("all") - F.col("main_size")) * F.col("all")).alias("pairs"), F.sum("all").alias("rows")).first()
         if not work["rows"]:
             return links
-        opened = marked.join(mixed, "bucket")
+        # a bucket in one component stays so: only the others go on
+        opened = stored(marked.join(mixed, "bucket"), "opened")
+        members = opened.select("bucket", "node")
         last = t == HUB_ROUNDS or work["pairs"] <= PASS_PAIRS * work["rows"]
         if last:
             rows = opened.select("bucket", "node", "main").join(known, "node")
