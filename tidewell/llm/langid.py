@@ -105,9 +105,13 @@ class LanguageFilters:
 
 def fit(docs: DataFrame, usable: Column, sample: int = SAMPLE_PER_LANG) -> LanguageFilters:
     """Learn from text and lang of at most ``sample`` rows per language for which ``usable`` holds."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).filter(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = rows.withColumn("nth", nth).filter(F.col("nth") <= sample).select("lang", "text")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("lang").cast("string").alias("lang"), F.col("text").isNotNull().alias("has"))
+    ids = ids.filter(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("has")).drop("has")
+    # the sample is drawn without the texts, which join the few rows that were drawn
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "mark"))
+    drawn = ids.withColumn("nth", nth).filter(F.col("nth") <= sample).select("doc_id", "mark", "lang").distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("lang").cast("string").alias("lang"), "text")
+    chosen = texts.join(drawn, ["doc_id", "mark", "lang"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
