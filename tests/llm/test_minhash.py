@@ -4,6 +4,7 @@ from itertools import combinations
 
 import numpy as np
 
+from tidewell.llm import minhash
 from tidewell.llm.components import connected_components
 from tidewell.llm.minhash import keep_one_of_each, minhash_groups, permute
 
@@ -54,6 +55,47 @@ def test_near_copies_around_the_threshold(documents):
     assert run(documents, rows, 80) == brute(rows, 80)
 
 
+def test_buckets_are_cut_into_parts(documents, monkeypatch):
+    """Small parts, and no further hubs: the result stays the same."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(90):
+        copy = list(base)
+        for _ in range(rng.randint(0, 3)):
+            copy[rng.randrange(len(copy))] = f"e{rng.randint(0, 10**6)}"
+        rows.append((i, " ".join(copy)))
+    want = brute(rows)
+    assert 1 < len({r[2] for r in want}) < 90
+    monkeypatch.setattr(minhash, "PART_ROWS", 7)
+    monkeypatch.setattr(minhash, "TASK_ROWS", 50)
+    monkeypatch.setattr(minhash, "COMPARED", 100)
+    assert run(documents, rows) == want
+    monkeypatch.setattr(minhash, "PASS_PAIRS", 0)
+    assert run(documents, rows) == want
+
+
+def test_recall_of_bands_and_sketches():
+    """Of pairs just above the threshold none is lost before the verification."""
+    rng = np.random.default_rng(4)
+    for size in (20, 40, 100, 400):
+        for percent in (80, 85):
+            share = 2 * percent / (100 + percent)
+            same = int(np.ceil(share * size))
+            sets = []
+            for _ in range(150):
+                both = rng.integers(0, 1 << 63, same, dtype=np.uint64)
+                sets += [np.unique(np.r_[both, rng.integers(0, 1 << 63, size - same, dtype=np.uint64)]) for _ in range(2)]
+            value, starts = np.concatenate(sets), np.r_[0, np.cumsum([len(x) for x in sets])[:-1]]
+            sig = minhash.signatures(value, starts, minhash.ROWS_PER_BAND * minhash.BANDS)
+            agree = (sig[:, ::2] == sig[:, 1::2]).reshape(minhash.BANDS, minhash.ROWS_PER_BAND, -1).all(axis=1).any(axis=0)
+            assert agree.all()
+            sketch = minhash.sketches(sig, value, np.repeat(np.arange(len(sets)), [len(x) for x in sets])).view(np.uint64)
+            n = np.array([len(x) for x in sets])
+            u = np.arange(0, len(sets), 2)
+            assert minhash.close_pairs(u, u + 1, n, sketch, percent).all()
+
+
 def test_edge_cases(documents):
     rows = [(1, "A b c"), (2, "a  B\tc"), (3, None), (4, ""), (5, " \n"), (6, "a b c d"), (7, "word " * 100_000), (8, "word word word word word"), (9, "a b c d"), (10, "é É x y z"), (11, "é é x y z")]
     assert run(documents, rows) == brute(rows)
