@@ -1,3 +1,8 @@
+import math
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -58,3 +63,66 @@ def test_nothing_to_learn_from(spark, documents):
     assert [r.score for r in toxicity(documents([(1, "a"), (2, None)]), none).collect()] == [0.0, 0.0]
     assert [r.score for r in toxicity(documents([(1, "a"), (3, "b")]), none.sparkSession.createDataFrame([(1, 0), (3, 0)], "doc_id long, toxic int")).collect()] == [0.0, 0.0]
     assert toxicity(documents([(1, "a")]).filter(F.lit(False)), none).collect() == []
+
+
+def brute(docs, labels):
+    """Scores by doc_id, from the definitions alone: every document against every example."""
+    found = {}
+    for i, text in docs:
+        low = "".join(c.lower() if c < "\x80" else c for c in text or "")
+        words = [w.encode() for w in re.findall(r"[0-9a-z\x80-\U0010ffff]+", low)]
+        found[i] = Counter(words + [(n, w[:n]) for w in words for n in (4, 7) if len(w) > n])
+    with_text = {i for i, text in docs if text is not None}
+    label = {i: y for i, y in labels.items() if i in with_text and zlib.crc32(str(i).encode()) % 4 != 2}
+    size = Counter(label.values())
+    df, seen = Counter(), {0: Counter(), 1: Counter()}
+    for i, c in found.items():
+        df.update(c.keys())
+        if i in label:
+            seen[label[i]].update(c.keys())
+
+    def vector(c):
+        out = {}
+        for t, n in c.items():
+            a, b = seen[1][t], seen[0][t]
+            if a + b:
+                told = abs(math.log((a + 0.5) / (size[1] + 1)) - math.log((b + 0.5) / (size[0] + 1))) * math.sqrt(a + b)
+                out[t] = (1 + math.log(n)) * math.log(1 + len(docs) / df[t]) * told
+        norm = math.sqrt(sum(w * w for w in out.values())) or 1
+        return {t: w / norm for t, w in out.items()}
+
+    vectors = {i: vector(c) for i, c in found.items()}
+
+    def vote(i, known):
+        cosine = sorted(((sum(w * vectors[e].get(t, 0) for t, w in vectors[i].items()), e) for e in known), reverse=True)[:15]
+        near = [(c * c, label[e]) for c, e in cosine if c > 0]
+        return sum(w * y for w, y in near) / sum(w for w, _ in near) if near else None
+
+    own = sorted((v, label[i]) for i in label if (v := vote(i, [e for e in label if e != i])) is not None)
+    prior = size[1] / len(label)
+    # isotonic fit by its min-max formula
+    fit = []
+    for k in range(len(own)):
+        fit.append(max(min(np.mean([y for _, y in own[i : j + 1]]) for j in range(k, len(own))) for i in range(k + 1)))
+    level = sorted(set(fit))
+    knots = [(np.mean([v for (v, _), f in zip(own, fit) if f == x]), (sum(y for (_, y), f in zip(own, fit) if f == x) + prior) / (fit.count(x) + 1)) for x in level]
+    bare = [label[i] for i in label if not vectors[i]]
+    rest = (sum(bare) + prior) / (len(bare) + 1)
+    return {i: rest if (v := vote(i, label)) is None else float(np.interp(v, *zip(*knots))) for i in found}
+
+
+def test_scores_equal_brute_force(spark, documents):
+    rng = np.random.default_rng(11)
+    plain = [f"word{i}" for i in range(120)]
+    rows, labels = [], {}
+    for i in range(140):
+        text = rng.choice(plain, rng.integers(4, 40)).tolist()
+        if i % 3 == 0:
+            text += rng.choice(["awful", "terrible", "vileness"], 2).tolist()
+        rows.append((i, " ".join(text) if i not in (5, 6, 7) else ["", None, "?!"][i - 5]))
+        if i < 110:
+            labels[i] = int(i % 3 == 0) if i % 11 else 1 - int(i % 3 == 0)
+    frame = spark.createDataFrame(list(labels.items()), "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity(documents(rows), frame).collect()}
+    want = brute(rows, labels)
+    assert got.keys() == want.keys() and max(abs(got[i] - want[i]) for i in got) < 1e-6 and len({round(x, 6) for x in want.values()}) > 5

@@ -1,14 +1,17 @@
 """Toxicity scores from the nearest labelled examples by exact TF-IDF cosine.
 
 Learning.  A bounded sample of the labelled rows, ``EXAMPLES`` of each label by a hash of their
-doc_id, makes the examples.  Terms are whole words and the first ``STEMS`` bytes of longer ones; the
-``VOCABULARY`` terms that tell the labels apart best (chi-squared on the sample) make up the vectors.
-Document frequencies of these terms are counted over all documents.
+doc_id, makes the examples.  Terms are all their words and the first ``STEMS`` bytes of longer ones.
+A term weighs its inverse document frequency, counted over all documents, times its relevance: how
+far apart its rates in the two labels are (log ratio) times the root of its example count.  No term
+is left out; a term that says nothing about the label only weighs little.
 
 Index.  Postings hold (example, weight) by term in blocks of ``BLOCK`` examples, with the largest
 weight of each block.  A query adds up the block maxima of its terms, takes blocks in falling order
 of that bound and stops below the K-th best cosine so far, so the K nearest examples are exact;
-equal cosines are ordered by the example's place.
+equal cosines are ordered by the example's place.  Texts are looked up one by one inside Arrow
+batches.  The index, its terms and the broadcast of it are as large as the texts of at most
+2 * EXAMPLES examples, whatever the size of the corpus.
 
 Score.  Neighbours vote with the square of their cosine, times what one example of their label
 stands for.  A vote becomes a score by the isotonic fit of the examples' labels on their own votes
@@ -16,9 +19,10 @@ stands for.  A vote becomes a score by the isotonic fit of the examples' labels
 
 Edge cases: a text without a known term (so null and empty ones) gets the rate of such examples; a
 doc_id with several labels counts as toxic if any says so; rows with a null label, doc_id or text
-are not learned from; without examples of both labels the score is the share of toxic ones, or 0 if
-there are none; a null doc_id is never held out; repeated rows each get their row; other columns are
-ignored.
+are not learned from; without examples of both labels no term says anything, so every score is the
+share of toxic examples, or 0 if there are none; an empty table of labels is such a case, an empty
+table of documents gives an empty result; a null doc_id is never held out; repeated rows each get
+their row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,9 +35,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import ALNUM_BREAKS, LOWER, U64, blocks, mix, prefix_hashes, span_hashes, text_buffer, words
-from .common import doc_remainder, stored
+from .common import doc_remainder, ship_package, stored
 
-EXAMPLES, VOCABULARY, LEAST_CHI2 = 2000, 4096, 45.0
+#: At most so many labelled rows of each label are learned from.
+EXAMPLES = 2000
 STEMS, BLOCK, K = (4, 7), 64, 15
 THRESHOLD = 0.3
 _NEAR = "array<struct<doc_id:bigint,similarity:double>>"
@@ -62,12 +67,18 @@ def counts(term: np.ndarray, row: np.ndarray, vocabulary: np.ndarray) -> tuple[n
     return both // len(vocabulary), both % len(vocabulary), n
 
 
+def relevance(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int) -> np.ndarray:
+    """What each term tells about the label, from the examples of either label that have it."""
+    ratio = np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
+    return np.abs(ratio) * np.sqrt(clean + toxic)
+
+
 class ExampleIndex:
-    """Examples' TF-IDF vectors in a block-max inverted index, and the calibration of votes."""
+    """Examples' weighted vectors in a block-max inverted index, and the calibration of votes."""
 
-    def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, ids: np.ndarray, label: np.ndarray, row: np.ndarray, place: np.ndarray, n: np.ndarray, stands_for: tuple[float, float]):
-        self.vocabulary, self.idf = vocabulary, idf
-        weight = self._weights(row, place, n, len(ids))
+    def __init__(self, vocabulary: np.ndarray, weight_of_term: np.ndarray, ids: np.ndarray, label: np.ndarray, row: np.ndarray, place: np.ndarray, n: np.ndarray, stands_for: tuple[float, float]):
+        self.vocabulary, self.weight_of_term = vocabulary, weight_of_term
+        weight = self.weights(row, place, n, len(ids))
         # like examples stand together, so that block maxima are tight
         main = np.full(len(ids), -1, np.int64)
         order = np.lexsort((-weight, row))
@@ -80,7 +91,7 @@ class ExampleIndex:
         back[rank] = np.arange(len(ids))
         row = back[row]
         order = np.lexsort((row, place))
-        self.example, self.weight, place = row[order], weight[order], place[order]
+        self.example, self.weight, place = row[order].astype(np.int32), weight[order], place[order]
         group = place * (len(ids) // BLOCK + 1) + self.example // BLOCK
         self.post_begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
         self.post_end = np.r_[self.post_begin[1:], len(group)]
@@ -92,16 +103,14 @@ class ExampleIndex:
         self.knots = (np.zeros(1), np.full(1, self.prior))
         bare = np.ones(len(ids), bool)
         bare[self.example] = False
-        self.bare = self._rate(bare)
-        self._calibrate(~bare)
-
-    def _weights(self, row: np.ndarray, place: np.ndarray, n: np.ndarray, rows: int) -> np.ndarray:
-        weight = (1 + np.log(n)) * self.idf[place]
-        return weight / np.sqrt(np.bincount(row, weight**2, minlength=rows))[row]
+        w = self.votes_of[bare]
+        self.bare = float(((w * self.label[bare]).sum() + self.prior) / (w.sum() + 1))
 
-    def _rate(self, which: np.ndarray) -> float:
-        w = self.votes_of[which]
-        return float(((w * self.label[which]).sum() + self.prior) / (w.sum() + 1))
+    def weights(self, row: np.ndarray, place: np.ndarray, n: np.ndarray, rows: int) -> np.ndarray:
+        """The unit vectors of the rows."""
+        weight = (1 + np.log(n)) * self.weight_of_term[place]
+        size = np.sqrt(np.bincount(row, weight**2, minlength=rows))
+        return weight / np.where(size > 0, size, 1)[row]
 
     def nearest(self, place: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest examples with a positive cosine, best first."""
@@ -131,22 +140,12 @@ class ExampleIndex:
         w = cosine**2 * self.votes_of[example]
         return float((w * self.label[example]).sum() / w.sum())
 
-    def _calibrate(self, which: np.ndarray) -> None:
-        vote, label, weight = [], [], []
-        order = np.argsort(self.example, kind="stable")
-        place_of = np.repeat(np.searchsorted(self.term_begin, np.arange(len(self.post_begin)), "right") - 1, self.post_end - self.post_begin)[order]
-        weight_of, owner = self.weight[order], self.example[order]
-        cut = np.searchsorted(owner, np.arange(len(self.ids) + 1))
-        for i in np.flatnonzero(which).tolist():
-            mine = slice(cut[i], cut[i + 1])
-            example, cosine = self.nearest(place_of[mine], weight_of[mine], K + 1)
-            other = example != i
-            if other.any():
-                vote.append(self.vote(example[other][:K], cosine[other][:K]))
-                label.append(self.label[i])
-                weight.append(self.votes_of[i])
+    def calibrate(self, ids: np.ndarray, vote: np.ndarray) -> None:
+        """Fit scores to the votes that examples (by doc_id) got from the others."""
+        order = np.argsort(self.ids)
+        at = order[np.searchsorted(self.ids[order], ids)]
         levels: list[list[float]] = []  # pooled: weight, sum of votes, sum of labels
-        for v, y, w in sorted(zip(vote, label, weight, strict=True)):
+        for v, y, w in sorted(zip(vote.tolist(), self.label[at].tolist(), self.votes_of[at].tolist(), strict=True)):
             levels.append([w, w * v, w * y])
             while len(levels) > 1 and levels[-2][2] / levels[-2][0] >= levels[-1][2] / levels[-1][0]:
                 last = levels.pop()
@@ -155,19 +154,31 @@ class ExampleIndex:
             w, v, y = np.array(levels).T
             self.knots = v / w, (y + self.prior) / (w + 1)
 
-    def judge(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[list[dict]]]:
-        """(score, nearest examples) of each text."""
+    def votes(self, data: np.ndarray, offsets: np.ndarray, own: list[int] | None = None) -> list[tuple[float, np.ndarray, np.ndarray] | None]:
+        """(vote, nearest examples, cosines) of each text, None without a neighbour; ``own`` are doc_ids to leave out."""
         rows = len(offsets) - 1
         row, place, n = counts(*terms(data, offsets), self.vocabulary)
-        weight = self._weights(row, place, n, rows) if len(row) else np.zeros(0)
-        score, near = np.full(rows, self.bare), [[] for _ in range(rows)]
+        weight = self.weights(row, place, n, rows)
+        out: list[tuple[float, np.ndarray, np.ndarray] | None] = [None] * rows
         cut = np.searchsorted(row, np.arange(rows + 1))
         for i in np.flatnonzero(np.diff(cut)).tolist():
             mine = slice(cut[i], cut[i + 1])
-            example, cosine = self.nearest(place[mine], weight[mine], K)
+            example, cosine = self.nearest(place[mine], weight[mine], K + (own is not None))
+            if own is not None:
+                other = self.ids[example] != own[i]
+                example, cosine = example[other][:K], cosine[other][:K]
             if len(example):
-                score[i] = np.interp(self.vote(example, cosine), *self.knots)
-                near[i] = [{"doc_id": int(self.ids[e]), "similarity": float(min(c, 1.0))} for e, c in zip(example, cosine, strict=True)]
+                out[i] = self.vote(example, cosine), example, cosine
+        return out
+
+    def judge(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[list[dict]]]:
+        """(score, nearest examples) of each text."""
+        found = self.votes(data, offsets)
+        score, near = np.full(len(found), self.bare), [[] for _ in found]
+        for i, x in enumerate(found):
+            if x:
+                score[i] = np.interp(x[0], *self.knots)
+                near[i] = [{"doc_id": int(self.ids[e]), "similarity": float(min(c, 1.0))} for e, c in zip(x[1], x[2], strict=True)]
         return np.clip(score, 0, 1), near
 
 
@@ -188,8 +199,8 @@ def _examples(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int,
     return stored(docs.filter("text is not null").join(sample, "doc_id").dropDuplicates(["doc_id"]), "examples"), total
 
 
-def _vocabulary(sample: DataFrame) -> np.ndarray:
-    """The terms that tell the labels of the sample apart, sorted."""
+def _term_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(terms of the examples, sorted; clean and toxic examples that have each)."""
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -201,16 +212,11 @@ def _vocabulary(sample: DataFrame) -> np.ndarray:
             both = np.bincount(back, minlength=len(value)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(value.astype(np.int64)), pa.array(both - yes), pa.array(yes)], ["term", "clean", "toxic"])
 
-    size = {int(r["toxic"]): int(r["n"]) for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n0, n1 = size.get(0, 0), size.get(1, 0)
-    if not n0 or not n1:
-        return np.zeros(0, U64)
-    a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    spread = (a + b) * (F.lit(float(n0 + n1)) - a - b) * n0 * n1
-    chi2 = F.try_divide((a * (n0 - b) - b * (n1 - a)) ** 2 * (n0 + n1), spread)
-    term = sample.mapInArrow(seen, "term long, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    best = term.select("term", chi2.alias("chi2")).filter(F.col("chi2") >= LEAST_CHI2).orderBy(F.desc("chi2"), "term").limit(VOCABULARY)
-    return np.sort(np.array([r["term"] for r in best.collect()], np.int64).astype(U64))
+    found = sample.mapInArrow(seen, "term long, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow()
+    term, clean, toxic = (found.column(c).to_numpy() for c in ("term", "clean", "toxic"))
+    term = term.astype(U64)
+    order = np.argsort(term)
+    return term[order], clean[order], toxic[order]
 
 
 def _idf(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
@@ -219,44 +225,63 @@ def _idf(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        times, rows = np.zeros(len(known) + 1, np.int64), 0
+        times = np.zeros(len(known) + 1, np.int64)
         for block in blocks(batches):
             _, place, _ = counts(*terms(*text_buffer(block.column("text"))), known)
             times[:-1] += np.bincount(place, minlength=len(known))
             times[-1] += block.num_rows
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(times))), pa.array(times)], ["place", "n"])
+        seen = np.flatnonzero(times)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(times[seen])], ["place", "n"])
 
-    found = docs.select("text").mapInArrow(tally, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()
+    found = docs.select("text").mapInArrow(tally, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     times = np.zeros(len(vocabulary) + 1)
-    for r in found:
-        times[r["place"]] = r["n"]
+    times[found.column("place").to_numpy()] = found.column("n").to_numpy()
     return np.log1p(times[-1] / np.maximum(times[:-1], 1))
 
 
+def _vectors(sample: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(doc_id, label by example; example, place, count by its terms) of the sample."""
+    shared = sample.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            row, place, n = counts(*terms(*text_buffer(block.column("text"))), shared.value)
+            cut = pa.array(np.searchsorted(row, np.arange(block.num_rows + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(cut, pa.array(x.astype(np.int32))) for x in (place, n)]
+            yield pa.RecordBatch.from_arrays([block.column("doc_id"), block.column("toxic"), *lists], ["doc_id", "toxic", "place", "n"])
+
+    rows = sample.select("doc_id", "toxic", "text").mapInArrow(vectors, "doc_id long, toxic int, place array<int>, n array<int>").toArrow().combine_chunks()
+    place, n = (pa.chunked_array(rows.column(c)).combine_chunks() for c in ("place", "n"))
+    size = place.value_lengths().to_numpy(zero_copy_only=False)
+    ids, label = rows.column("doc_id").to_numpy(), rows.column("toxic").to_numpy().astype(np.int64)
+    return ids, label, np.repeat(np.arange(len(ids)), size), *(x.flatten().to_numpy().astype(np.int64) for x in (place, n))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> ExampleIndex:
     """Learn from labels (doc_id, toxic) and the texts of docs (doc_id long, text) outside the held-out fold."""
     sample, total = _examples(docs, labels)
-    vocabulary = _vocabulary(sample)
-
-    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    vocabulary, clean, toxic = _term_counts(sample)
+    ids, label, row, place, n = _vectors(sample, vocabulary)
+    have = [int((label == y).sum()) for y in (0, 1)]
+    known = relevance(clean, toxic, *have) if all(have) else np.zeros(len(vocabulary))
+    stands_for = tuple(total.get(y, 0) / max(1, have[y]) for y in (0, 1))
+    index = ExampleIndex(vocabulary, _idf(docs, vocabulary) * known, ids, label, row, place, n, stands_for)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def own_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            row, place, n = counts(*terms(*text_buffer(block.column("text"))), vocabulary)
-            cut = np.searchsorted(row, np.arange(block.num_rows + 1)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), block.column("toxic"), pa.ListArray.from_arrays(pa.array(cut), pa.array(place)), pa.ListArray.from_arrays(pa.array(cut), pa.array(n))],
-                ["doc_id", "toxic", "place", "n"])
+            own = block.column("doc_id").to_pylist()
+            found = [(i, x[0]) for i, x in zip(own, shared.value.votes(*text_buffer(block.column("text")), own), strict=True) if x]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.array([v for _, v in found], pa.float64())], ["doc_id", "vote"])
 
-    # at most 2 * EXAMPLES rows of at most VOCABULARY numbers
-    rows = sample.select("doc_id", "toxic", "text").mapInArrow(vectors, "doc_id long, toxic int, place array<long>, n array<long>").orderBy("doc_id").collect()
-    label = np.array([r["toxic"] for r in rows], np.int64)
-    size = [len(r["place"]) for r in rows]
-    flat = lambda c: np.array([x for r in rows for x in r[c]], np.int64)
-    stands_for = tuple(total.get(y, 0) / max(1, int((label == y).sum())) for y in (0, 1))
-    return ExampleIndex(vocabulary, _idf(docs, vocabulary), np.array([r["doc_id"] for r in rows], np.int64), label, np.repeat(np.arange(len(rows)), size), flat("place"), flat("n"), stands_for)
+    votes = sample.select("doc_id", "text").repartition("doc_id").mapInArrow(own_votes, "doc_id long, vote double").toArrow()
+    index.calibrate(votes.column("doc_id").to_numpy(), votes.column("vote").to_numpy())
+    return index
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (nearest examples) of every row."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shared = docs.sparkSession.sparkContext.broadcast(fit(rows, labels))
 
