@@ -37,6 +37,11 @@ def test_nulls_ties_and_repeats(spark):
     assert got[None].loss_chars == 1 and got[2].loss_chars == 1_000_000
 
 
+def test_equal_turns_are_ordered_by_their_texts(spark):
+    r = run(spark, [(1, 0, "assistant", "<x"), (1, 0, "assistant", "5"), (1, 0, "assistant", "[")])[0]
+    assert r.turns_sha256 == sha("assistant\n5\nassistant\n<x\nassistant\n[\n") and r.loss_sha256 == sha("5<x[")
+
+
 def test_empty(spark):
     assert run(spark, [(1, 0, "user", "x")]) and chat_report(spark.createDataFrame([], SCHEMA).withColumn("parts", text_part(F.col("text")))).collect() == []
 

@@ -1,8 +1,13 @@
+import os
+import subprocess
+import sys
 import zlib
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -107,3 +112,45 @@ def test_odd_rows(spark, documents, tmp_path):
         assert none.collect() == [] and whole.count() > 0
         docs = whole if name != "best_fit_packing" else docs
     assert sorted(r.doc_id or 0 for r in docs.collect()) == [0, 9, 10]
+
+
+#: Names that stages use for columns of their own, or have used.
+NAMES = """mark copies id doc key word bits place text_of_row found_lang found_score n draw digest old kept keep_id group_size historical text_sha256 node rep row least bucket
+bands sketch component n_shingles first item_id similarity ids best of __text __lang __score _doc_id _sha _sha_of_row _copies _mark __found found _word bit lang_pred score""".split()
+
+
+def test_columns_of_any_name_are_carried_through(spark, documents, tmp_path):
+    rows = [(i, f"the {i} cat and the {i} dog stand in the garden of house number {i}", "en") for i in range(6)]
+    rows += [(7, rows[1][1].upper(), "en"), (8, "a passage of the benchmark stands in here word by word for all", "en"), (9, None), (9, rows[2][1] + " too", "en")]
+    docs = documents([(i, t, *rest) for i, t, *rest in rows]).drop("digest", "length")
+    docs = docs.select("*", *(F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n if k % 2 else n.upper()) for k, n in enumerate(NAMES)))
+    spark.createDataFrame([(1, "a passage of the benchmark stands in here word by word for all")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    before = {tuple(r) for r in docs.collect()}
+    sizes = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, str(tmp_path))
+        assert after.columns == docs.columns
+        found = [tuple(r) for r in after.collect()]
+        assert set(found) <= before
+        sizes.append(len(found))
+    assert sizes == [9, 9, 8, 9]
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == len(rows)
+
+
+def test_stages_work_from_another_folder_without_the_table_helper(tmp_path):
+    """The workers get the package from the operators, wherever the driver runs."""
+    script = tmp_path / "job.py"
+    script.write_text("""
+import sys
+sys.path.append(sys.argv[1])
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local-cluster[1,2,1024]").config("spark.checkpoint.dir", "file://" + sys.argv[2]).config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate()
+from tidewell.llm.langid import keep_identified
+from tidewell.llm.token_counts import token_counts
+docs = spark.createDataFrame([(1, "the cat", "en"), (2, "12", "en")], "doc_id long, text string, lang string")
+print("RESULT", keep_identified(docs).count(), token_counts(docs).count())
+""")
+    root = str(Path(corpus_pipeline.__file__).parent)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"SPARK_SCALA_VERSION": "2.13"}
+    done = subprocess.run([sys.executable, str(script), root, str(tmp_path / "shared")], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "RESULT 1 2" in done.stdout, done.stderr[-3000:]

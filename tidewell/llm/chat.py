@@ -66,10 +66,11 @@ def format_chats(messages: DataFrame) -> DataFrame:
     loss_mask holds (turn, offset, length, start): start counts code points of the whole string,
     offset those of the turn's own piece, both to the first one that is learned.
     """
-    seen = messages.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), visit(F.col("parts")).alias("v"))
-    piece = seen.select("conv_id", F.struct(
+    plain = F.array_join(F.transform(F.coalesce(F.col("parts"), F.array().cast(f"array<{PART}>")), lambda p: F.coalesce(p["text"], F.lit(""))), "")
+    seen = messages.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), visit(F.col("parts")).alias("v"), plain.alias("plain"))
+    piece = seen.select("conv_id", "plain", F.struct(
         "turn", "role", F.concat(F.lit(TURN), escape(F.col("role")), F.lit(BODY), F.col("v.content"), F.lit(END)).alias("piece"), F.col("v.attachments").alias("attachments")).alias("t"))
-    before = Window.partitionBy("conv_id").orderBy("t.turn", "t.role", "t.piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("conv_id").orderBy("t.turn", "t.role", "plain", "t.piece").rowsBetween(Window.unboundedPreceding, -1)
     started = piece.withColumn("start", F.coalesce(F.sum(F.length("t.piece")).over(before), F.lit(0)))
     grouped = started.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("start", "t"))).alias("turns"))
     offset = F.length(F.lit(TURN + BODY))

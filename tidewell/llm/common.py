@@ -91,12 +91,12 @@ def without(docs: DataFrame, mark: Column, odd: DataFrame) -> DataFrame:
     Of rows with copies 0 none stays, of others one.  Rows outside a filter over ``odd`` are never
     shuffled.
     """
-    m, i, n, d = spare_names(docs, "mark", "id", "copies", "doc")
+    m, k, i, n, d = spare_names(docs, "mark", "key", "id", "copies", "doc")
     rows = docs.withColumn(m, mark)
-    keys = odd.select(F.col("mark").alias(f"{m}_"), F.col("doc_id").alias(i), F.col("copies").alias(n))
+    keys = odd.select(F.col("mark").alias(k), F.col("doc_id").alias(i), F.col("copies").alias(n))
     plain = maybe_in(rows, m, odd.select("mark"), other=True).select(*docs.columns)
     held = maybe_in(rows, m, odd.select("mark")).withColumn(d, F.col("doc_id").cast("long"))
-    joined = held.join(keys, (F.col(m) == F.col(f"{m}_")) & F.col(d).eqNullSafe(F.col(i)), "left")
+    joined = held.join(keys, (F.col(m) == F.col(k)) & F.col(d).eqNullSafe(F.col(i)), "left")
     out = plain.unionByName(joined.filter(F.col(n).isNull()).select(*docs.columns))
     if odd.filter("copies > 0").isEmpty():
         return out

@@ -11,21 +11,24 @@ RADIUS // PARTS bits.  Two fingerprints within RADIUS bits agree within RADIUS /
 least one part, so a lookup of the four parts returns every item within the radius.  Candidates
 are verified on the exact shingle counts.
 
-The benchmark is read in blocks of at most ITEM_BLOCK items and WORD_BLOCK words; each block is
-broadcast to one pass over the documents, and the passes follow each other in one stage.
+The benchmark is read in blocks of at most ITEM_BLOCK items and WORD_BLOCK words, and ROUND_BLOCKS
+blocks are broadcast to one pass over the documents; see ``matches``.  Windows are verified one by
+one inside Arrow batches.
 
 Words are runs of digits, ASCII letters and non-ASCII characters after lower-casing A-Z, so
 punctuation and line breaks do not hide a passage.  Edge cases: a document shorter than the item
 is one window; an item with fewer than five words is one shingle; items without words or with a
 null id are ignored; null and empty texts are clean; repeated rows each get their row; other
-columns are ignored; an empty benchmark leaves every document clean.
+columns are ignored; an empty benchmark leaves every document clean; an empty table of documents
+gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations
+from functools import reduce
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +36,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import ALNUM_BREAKS, LOWER, U64, blocks, prefix_hashes, span_hashes, text_buffer, word_shingles, words
+from .common import ship_package, stored, without
 
 SIMILARITY = 0.8
 SHINGLE = 5
 PARTS, PART_BITS, RADIUS = 4, 16, 15
-ITEM_BLOCK, WORD_BLOCK = 2000, 500_000
-_FOUND = "array<struct<item_id:bigint,similarity:double,word:bigint>>"
+ITEM_BLOCK, WORD_BLOCK, ROUND_BLOCKS = 2000, 500_000, 4
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +162,7 @@ class ItemIndex:
 
 
 def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Blocks of (item_id, text) within the documented bounds."""
+    """Blocks of (item_id, text) within the documented bounds; one partition at a time is fetched."""
     block: list[tuple[int, str]] = []
     size = 0
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null").toLocalIterator():
@@ -173,25 +176,36 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def with_matches(docs: DataFrame, benchmark: DataFrame, column: str) -> DataFrame:
-    """``docs`` with ``column``: an array of (item_id, similarity, word) of the items it leaks."""
-    out = docs.withColumn(column, F.array().cast(_FOUND))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
-    for items in item_blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast(ItemIndex(items))
+def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """doc_id, mark (a hash of the text), item_id, similarity, word of the best window of every leaked item.
 
-        def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            index = shared.value
+    The benchmark is a stated set of queries, taken in rounds of ROUND_BLOCKS blocks.  A round is one
+    pass over the documents with its blocks broadcast, and only what it found is kept, so neither
+    the driver nor a task ever holds more of the benchmark than one round of it.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), "text")
+    schema = "doc_id long, mark long, item_id long, similarity double, word long"
+    found, waiting = [], item_blocks(benchmark)
+    while held := [spark.sparkContext.broadcast(ItemIndex(items)) for items in islice(waiting, ROUND_BLOCKS)]:
+
+        def search(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             for block in blocks(batches):
-                matches = index.match(*text_buffer(block.column("text")))
-                had = block.column(column)
-                if any(matches):
-                    both = [[*old, *({"item_id": int(index.ids[i]), "similarity": s, "word": w} for i, (s, w) in sorted(new.items()))] for old, new in zip(had.to_pylist(), matches, strict=True)]
-                    had = pa.array(both, had.type)
-                yield pa.RecordBatch.from_arrays([*block.columns[:-1], had], block.schema.names)
-
-        out = out.mapInArrow(search, schema)
-    return out
+                data, offsets = text_buffer(block.column("text"))
+                out = []
+                for shared in held:
+                    index = shared.value
+                    out += [(r, int(index.ids[i]), s, w) for r, new in enumerate(index.match(data, offsets)) for i, (s, w) in new.items()]
+                at = pa.array([x[0] for x in out], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [block.column("doc_id").take(at), block.column("mark").take(at), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.float64()), pa.array([x[3] for x in out], pa.int64())],
+                    ["doc_id", "mark", "item_id", "similarity", "word"])
+
+        found.append(stored(rows.mapInArrow(search, schema), "leaks"))
+        for shared in held:
+            shared.destroy()
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], schema)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -199,14 +213,16 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     item_ids is sorted and comma-joined; similarity and first_word belong to the best match.
     """
-    found = with_matches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), benchmark, "found").drop("text")
-    best = F.array_max(F.transform("found", lambda x: F.struct(x["similarity"].alias("s"), (-x["word"]).alias("w"))))
-    ids = F.array_sort(F.array_distinct(F.transform("found", lambda x: x["item_id"])))
-    return found.select(
-        "doc_id", (F.size("found") > 0).alias("contaminated"), F.size(ids).cast("long").alias("n_items"),
-        F.array_join(ids.cast("array<string>"), ",").alias("item_ids"), F.coalesce(best["s"], F.lit(0.0)).alias("similarity"), (-best["w"]).alias("first_word"))
+    found = matches(docs, benchmark).groupBy(F.col("doc_id").alias("id"), F.col("mark").alias("of")).agg(
+        F.array_sort(F.collect_set("item_id")).alias("ids"), F.max(F.struct(F.col("similarity").alias("s"), (-F.col("word")).alias("w"))).alias("best"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"))
+    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("of")), "left")
+    return joined.select(
+        "doc_id", F.col("ids").isNotNull().alias("contaminated"), F.coalesce(F.when(F.col("ids").isNotNull(), F.size("ids")), F.lit(0)).cast("long").alias("n_items"),
+        F.coalesce(F.array_join(F.col("ids").cast("array<string>"), ","), F.lit("")).alias("item_ids"), F.coalesce("best.s", F.lit(0.0)).alias("similarity"), (-F.col("best.w")).alias("first_word"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that leak no benchmark item."""
-    return with_matches(docs, benchmark, "__found").filter(F.size("__found") == 0).select(*docs.columns)
+    leaks = matches(docs, benchmark).select("doc_id", "mark").distinct().withColumn("copies", F.lit(0))
+    return without(docs, F.xxhash64("text"), stored(leaks, "dropped"))

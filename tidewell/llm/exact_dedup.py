@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, stored
+from .common import lower_ascii, ship_package, stored, without
 from .blocks import U64, mix
 
 #: Historical digests in one shard, on average.  One shard is what one task holds at a time.
@@ -136,10 +136,8 @@ def merge_incoming(incoming: DataFrame, slots: DataFrame, shards: int) -> DataFr
     return left.cogroup(slots.groupBy("shard")).applyInPandas(_merge, "digest binary, keep_id long, group_size long, historical boolean")
 
 
-def digests(docs: DataFrame) -> DataFrame:
-    """doc_id and the digest of the normalised text of every row."""
-    norm = lower_ascii(F.coalesce(F.col("text"), F.lit("")))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(norm.cast("binary"), 256)).alias("digest"))
+def _normal(text: Column) -> Column:
+    return lower_ascii(F.coalesce(text, F.lit("")))
 
 
 def with_groups(rows: DataFrame, groups: DataFrame, total: int) -> DataFrame:
@@ -159,9 +157,11 @@ def exact_dedup(docs: DataFrame, is_history: Column | None = None) -> DataFrame:
     ``is_history`` marks the rows that make up the history (by default half of them, by a hash of
     the doc_id); the result does not depend on it, apart from the column historical.
     """
+    ship_package(docs.sparkSession)
     if is_history is None:
         is_history = F.pmod(F.xxhash64("doc_id"), F.lit(2)) == 0
-    rows = stored(digests(docs).withColumn("old", F.coalesce(is_history, F.lit(False))), "digests")
+    old = F.coalesce(is_history, F.lit(False)).alias("old")
+    rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(_normal(F.col("text")).cast("binary"), 256)).alias("digest"), old), "digests")
     total = rows.count()
     shards = max(1, -(-total // SHARD_ROWS))
     slots = stored(build_history(rows.filter("old"), shards), "slots")
@@ -176,12 +176,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat both doc_id and text, one stays.
     """
-    kept = stored(exact_dedup(docs).filter("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("copies")), "kept")
-    sha = F.sha2(lower_ascii(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256)
-    keys = kept.select(F.col("doc_id").alias("_doc_id"), F.col("text_sha256").alias("_sha"), F.col("copies").alias("_copies"))
-    joined = docs.withColumn("_sha_of_row", sha).join(keys, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & (F.col("_sha_of_row") == F.col("_sha")))
-    once = joined.filter("_copies = 1").select(*docs.columns)
-    if kept.filter("copies > 1").isEmpty():
-        return once
-    repeated = joined.filter("_copies > 1").dropDuplicates(["_doc_id", "_sha"]).select(*docs.columns)
-    return once.unionByName(repeated)
+    rows = exact_dedup(docs).groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
+    copies = F.when(F.col("kept"), F.col("n")).otherwise(F.lit(0))
+    odd = rows.select("doc_id", F.col("text_sha256").alias("mark"), copies.alias("copies")).filter("copies <> 1")
+    return without(docs, F.sha2(_normal(F.col("text")).cast("binary"), 256), stored(odd, "dropped"))

@@ -15,7 +15,9 @@ N-grams are taken over lower-cased UTF-8 bytes with every run of other ASCII byt
 Edge cases: ``und`` with score 0 for a null text or one without a letter; a text with letters but
 no known n-gram gets the most frequent language with score 0; ties go to the language that sorts
 first; rows with a null lang or doc_id are not learned from.  If there is nothing to learn from,
-every prediction is ``und``.  Repeated rows each get their row; other columns are ignored.
+every prediction is ``und``.  Repeated rows each get their row; other columns are ignored, and the
+stage form carries them through, whatever their names; an empty table gives an empty result.  A
+block of texts is held as several 8-byte arrays a byte, so a task needs memory for the longest text.
 """
 
 from __future__ import annotations
@@ -27,12 +29,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .blocks import ALNUM_BREAKS, LOWER, U64, blocks, mix, text_buffer
-from .common import doc_remainder
+from .common import doc_remainder, maybe_in, ship_package, spare_names
 
 #: At most so many labelled rows of each language are learned from.
 SAMPLE_PER_LANG = 2000
+#: Rows that are ordered for each one that is drawn.
+DRAWN = 4
 NGRAM = 5
 MIN_RATE, MIN_SHARE = 2e-5, 0.25
 TABLE_BITS, HASHES = 20, 4
@@ -105,13 +110,18 @@ class LanguageFilters:
 
 def fit(docs: DataFrame, usable: Column, sample: int = SAMPLE_PER_LANG) -> LanguageFilters:
     """Learn from text and lang of at most ``sample`` rows per language for which ``usable`` holds."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("lang").cast("string").alias("lang"), F.col("text").isNotNull().alias("has"))
-    ids = ids.filter(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("has")).drop("has")
-    # the sample is drawn without the texts, which join the few rows that were drawn
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "mark"))
-    drawn = ids.withColumn("nth", nth).filter(F.col("nth") <= sample).select("doc_id", "mark", "lang").distinct()
+    ship_package(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("mark"), F.col("lang").cast("string").alias("lang"), "text")
-    chosen = texts.join(drawn, ["doc_id", "mark", "lang"]).select("lang", "text")
+    texts = texts.filter(usable & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+    # the sample is drawn without the texts, which join the few rows that were drawn; only rows with
+    # the least draws, DRAWN times as many as are wanted, are ordered, so no task gets a whole language
+    draw = F.xxhash64("doc_id", "mark").bitwiseAND(F.lit(2**62 - 1))
+    ids = texts.select("doc_id", "mark", "lang").distinct().withColumn("draw", draw)
+    size = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    early = ids.join(size, "lang").filter(F.col("draw") <= F.lit(2.0**62) * DRAWN * sample / F.col("n")).drop("n")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "mark"))
+    drawn = early.withColumn("nth", nth).filter(F.col("nth") <= sample).select("doc_id", "mark", "lang")
+    chosen = maybe_in(texts, "mark", drawn.select("mark")).join(drawn, ["doc_id", "mark", "lang"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -137,13 +147,15 @@ def fit(docs: DataFrame, usable: Column, sample: int = SAMPLE_PER_LANG) -> Langu
 
 def predict(docs: DataFrame, model: LanguageFilters, columns: list[str], made: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """``columns`` of every row and the two made columns; nothing but the text is looked at."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    frame = docs.select(*columns, F.col("text").alias("__text"))
+    held = spare_names(docs, "text_of_row")[0]
+    frame = docs.select(*columns, F.col("text").alias(held))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters = shared.value
-        for block in blocks(batches, "__text"):
-            text = pc.utf8_lower(block.column("__text"))
+        for block in blocks(batches, held):
+            text = pc.utf8_lower(block.column(held))
             data, offsets = text_buffer(text)
             letters = np.r_[0, np.cumsum(~_LETTERS[data])]
             has = letters[offsets[1:]] > letters[offsets[:-1]]
@@ -161,8 +173,7 @@ def predict(docs: DataFrame, model: LanguageFilters, columns: list[str], made: t
             kept = [block.column(c) for c in columns]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(name, pa.string()), pa.array(share)], [*columns, *made])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1])
-    return frame.mapInArrow(judge, f"{schema}, `{made[0]}` string, `{made[1]}` double")
+    return frame.mapInArrow(judge, StructType([*frame.schema.fields[:-1], StructField(made[0], StringType()), StructField(made[1], DoubleType())]))
 
 
 def learnable() -> Column:
@@ -179,4 +190,5 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose language is identified; ``und`` rows go."""
-    return predict(docs, fit(docs, learnable()), list(docs.columns), ("__lang", "__score")).filter("__lang <> 'und'").select(*docs.columns)
+    lang, score = spare_names(docs, "found_lang", "found_score")
+    return predict(docs, fit(docs, learnable()), list(docs.columns), (lang, score)).filter(F.col(lang) != "und").select(*docs.columns)

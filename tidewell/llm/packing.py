@@ -11,8 +11,8 @@
    prefix sums - so that a length held by a third of all pieces is spread over many tasks, and
    each piece finds its run by length and rank.
 
-Edge cases: null and empty texts are one piece holding just the end id; repeated rows are packed
-separately; an empty table gives an empty result; other columns are ignored.
+Edge cases: null and empty texts are one piece holding just the end id; repeated rows and rows with
+a null doc_id are packed like any others, each on its own; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .blocks import blocks, text_buffer
 from .bpe import engine, vocabulary_path
-from .common import stored
+from .common import ship_package, stored
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY, END_ID = 4096, 1
@@ -234,6 +234,7 @@ def _ranked(cut: DataFrame, total: int) -> DataFrame:
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
     spark = docs.sparkSession
+    ship_package(spark)
     cut = stored(pieces(docs, vocabulary, capacity), "pieces")
     histogram = {int(r["length"]): int(r["n"]) for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     layout = spark.sparkContext.broadcast(_layout(plan(histogram, capacity)))

@@ -20,7 +20,9 @@ windows.  Neighbouring windows with one anchor form a run, about one run in 85 b
 Digits are compared by 64-bit fingerprints, in step 3 by one for each DIGIT bytes.  Matches never
 cross rows.  Edge cases: null counts as empty; texts under DEPTH bytes lose nothing; rows that
 repeat a doc_id, and repeated rows, each count as a text of their own and each get their row; an
-empty table gives an empty result; other columns are ignored.
+empty table gives an empty result; other columns are ignored.  Texts may have up to 2**31 - 1 bytes,
+as Spark's strings; a block of texts is held as several 8-byte arrays a byte, so a task needs memory
+for the longest text.
 """
 
 from __future__ import annotations
@@ -35,14 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import U64, blocks, mix, prefix_hashes, span_hashes, text_buffer
-from .common import stored
+from .common import ship_package, stored
 
 DEPTH, ANCHOR, DIGIT = 200, 32, 40
 #: Runs with one anchor that a bucket may hold, and runs in a bucket on average.
 GROUP_ROWS, BUCKET_ROWS = 2000, 10_000
 #: Distances to the anchor are below this power of two.
 REACH = 256
-_PLACE_BITS = 28
+#: A text of Spark holds fewer than 2**31 bytes.
+_PLACE_BITS = 31
 _RUN = "doc_id long, k long, start int, stop int, at int"
 
 
@@ -229,6 +232,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
 
 def with_removed(docs: DataFrame) -> DataFrame:
     """doc_id, text, spans: every row and the sorted maximal spans of bytes to remove."""
+    ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("k", F.xxhash64("text"))
     spans = repeated_spans(rows).groupBy(F.col("doc_id").alias("_id"), F.col("k").alias("_k")).agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     return rows.join(spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("k") == F.col("_k")), "left").select("doc_id", "text", "spans")

@@ -2,7 +2,8 @@
 
 Null counts as the empty text, which has 0 bytes and 0 tokens.  Strings of added tokens inside a
 text count as the library's default has it: one token each.  Repeated rows each get their row, a
-null doc_id is carried through, and other columns are ignored whatever their names.
+null doc_id is carried through, and other columns are ignored whatever their names; an empty table
+gives an empty result.  Texts are handled in blocks of bounded size, a longer text in one of its own.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame
 
 from .blocks import blocks, text_buffer
 from .bpe import engine, vocabulary_path
+from .common import ship_package
 
 VOCABULARY = "word_bpe_49k.json"
 TOKEN_LIMIT = 2048
@@ -32,5 +34,6 @@ def token_counts(docs: DataFrame, vocabulary: str = VOCABULARY, limit: int = TOK
                 [block.column("doc_id"), pa.array(np.diff(offsets)), pa.array(n), pa.array(n > limit)],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
+    ship_package(docs.sparkSession)
     rows = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     return rows.mapInArrow(count, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
