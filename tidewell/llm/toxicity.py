@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +42,7 @@ from .common import doc_remainder, ship_package, stored
 EXAMPLES = 2000
 STEMS, BLOCK, K = (4, 7), 64, 15
 THRESHOLD = 0.3
+Calibration = tuple[np.ndarray, np.ndarray]
 _NEAR = "array<struct<doc_id:bigint,similarity:double>>"
 
 
@@ -77,8 +79,9 @@ class ExampleIndex:
     """Examples' weighted vectors in a block-max inverted index, and the calibration of votes."""
 
     def __init__(self, vocabulary: np.ndarray, weight_of_term: np.ndarray, ids: np.ndarray, label: np.ndarray, row: np.ndarray, place: np.ndarray, n: np.ndarray, stands_for: tuple[float, float]):
+        # every executor keeps a copy on its disk, so numbers are as narrow as they can be
         self.vocabulary, self.weight_of_term = vocabulary, weight_of_term
-        weight = self.weights(row, place, n, len(ids))
+        weight = self.weights(row, place, n, len(ids)).astype(np.float32)
         # like examples stand together, so that block maxima are tight
         main = np.full(len(ids), -1, np.int64)
         order = np.lexsort((-weight, row))
@@ -93,14 +96,13 @@ class ExampleIndex:
         order = np.lexsort((row, place))
         self.example, self.weight, place = row[order].astype(np.int32), weight[order], place[order]
         group = place * (len(ids) // BLOCK + 1) + self.example // BLOCK
-        self.post_begin = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
-        self.post_end = np.r_[self.post_begin[1:], len(group)]
-        self.block = self.example[self.post_begin] // BLOCK
-        self.block_max = np.maximum.reduceat(self.weight, self.post_begin) if len(group) else np.zeros(0)
-        self.term_begin = np.searchsorted(place[self.post_begin], np.arange(len(vocabulary) + 1))
+        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
+        self.post_begin = np.r_[first, len(group)].astype(np.uint32 if len(group) < 1 << 32 else np.int64)
+        self.block = self.example[first] // BLOCK
+        self.block_max = np.maximum.reduceat(self.weight, first) if len(group) else np.zeros(0, np.float32)
+        self.term_begin = np.searchsorted(place[first], np.arange(len(vocabulary) + 1)).astype(self.post_begin.dtype)
         total = self.votes_of.sum()
         self.prior = float((self.votes_of * self.label).sum() / total) if total else 0.0
-        self.knots = (np.zeros(1), np.full(1, self.prior))
         bare = np.ones(len(ids), bool)
         bare[self.example] = False
         w = self.votes_of[bare]
@@ -114,7 +116,7 @@ class ExampleIndex:
 
     def nearest(self, place: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest examples with a positive cosine, best first."""
-        begin, size = self.term_begin[place], self.term_begin[place + 1] - self.term_begin[place]
+        begin, size = self.term_begin[place].astype(np.int64), (self.term_begin[place + 1] - self.term_begin[place]).astype(np.int64)
         entry = np.repeat(begin - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
         own = np.repeat(weight, size)
         bound = np.bincount(self.block[entry], own * self.block_max[entry], minlength=len(self.ids) // BLOCK + 1)
@@ -126,7 +128,8 @@ class ExampleIndex:
             chosen[turn[done : done + step]] = True
             done, step = done + step, step * 2
             use = np.flatnonzero(chosen[self.block[entry]])
-            a, length = self.post_begin[entry[use]], self.post_end[entry[use]] - self.post_begin[entry[use]]
+            a = self.post_begin[entry[use]].astype(np.int64)
+            length = self.post_begin[entry[use] + 1].astype(np.int64) - a
             post = np.repeat(a - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum())
             score = np.bincount(self.example[post], np.repeat(own[use], length) * self.weight[post], minlength=len(self.ids))
             found = np.flatnonzero(score)
@@ -140,8 +143,8 @@ class ExampleIndex:
         w = cosine**2 * self.votes_of[example]
         return float((w * self.label[example]).sum() / w.sum())
 
-    def calibrate(self, ids: np.ndarray, vote: np.ndarray) -> None:
-        """Fit scores to the votes that examples (by doc_id) got from the others."""
+    def calibration(self, ids: np.ndarray, vote: np.ndarray) -> Calibration:
+        """(votes, scores) of the isotonic fit to the votes that examples (by doc_id) got from the others."""
         order = np.argsort(self.ids)
         at = order[np.searchsorted(self.ids[order], ids)]
         levels: list[list[float]] = []  # pooled: weight, sum of votes, sum of labels
@@ -150,9 +153,10 @@ class ExampleIndex:
             while len(levels) > 1 and levels[-2][2] / levels[-2][0] >= levels[-1][2] / levels[-1][0]:
                 last = levels.pop()
                 levels[-1] = [a + b for a, b in zip(levels[-1], last, strict=True)]
-        if levels:
-            w, v, y = np.array(levels).T
-            self.knots = v / w, (y + self.prior) / (w + 1)
+        if not levels:
+            return np.zeros(1), np.full(1, self.prior)
+        w, v, y = np.array(levels).T
+        return v / w, (y + self.prior) / (w + 1)
 
     def votes(self, data: np.ndarray, offsets: np.ndarray, own: list[int] | None = None) -> list[tuple[float, np.ndarray, np.ndarray] | None]:
         """(vote, nearest examples, cosines) of each text, None without a neighbour; ``own`` are doc_ids to leave out."""
@@ -171,13 +175,13 @@ class ExampleIndex:
                 out[i] = self.vote(example, cosine), example, cosine
         return out
 
-    def judge(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, list[list[dict]]]:
+    def judge(self, data: np.ndarray, offsets: np.ndarray, knots: Calibration) -> tuple[np.ndarray, list[list[dict]]]:
         """(score, nearest examples) of each text."""
         found = self.votes(data, offsets)
         score, near = np.full(len(found), self.bare), [[] for _ in found]
         for i, x in enumerate(found):
             if x:
-                score[i] = np.interp(x[0], *self.knots)
+                score[i] = np.interp(x[0], *knots)
                 near[i] = [{"doc_id": int(self.ids[e]), "similarity": float(min(c, 1.0))} for e, c in zip(x[1], x[2], strict=True)]
         return np.clip(score, 0, 1), near
 
@@ -219,9 +223,8 @@ def _term_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return term[order], clean[order], toxic[order]
 
 
-def _idf(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
-    """log(1 + documents / document frequency) of each term, over all documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def _idf(docs: DataFrame, shared: Broadcast) -> np.ndarray:
+    """log(1 + documents / document frequency) of each term of the vocabulary, over all documents."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -234,14 +237,13 @@ def _idf(docs: DataFrame, vocabulary: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(times[seen])], ["place", "n"])
 
     found = docs.select("text").mapInArrow(tally, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    times = np.zeros(len(vocabulary) + 1)
+    times = np.zeros(len(shared.value) + 1)
     times[found.column("place").to_numpy()] = found.column("n").to_numpy()
     return np.log1p(times[-1] / np.maximum(times[:-1], 1))
 
 
-def _vectors(sample: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(doc_id, label by example; example, place, count by its terms) of the sample."""
-    shared = sample.sparkSession.sparkContext.broadcast(vocabulary)
+def _vectors(sample: DataFrame, shared: Broadcast) -> tuple[np.ndarray, ...]:
+    """(doc_id, label by example; example, place in the vocabulary, count by its terms) of the sample."""
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
@@ -257,15 +259,17 @@ def _vectors(sample: DataFrame, vocabulary: np.ndarray) -> tuple[np.ndarray, ...
     return ids, label, np.repeat(np.arange(len(ids)), size), *(x.flatten().to_numpy().astype(np.int64) for x in (place, n))
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> ExampleIndex:
+def fit(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, Calibration]:
     """Learn from labels (doc_id, toxic) and the texts of docs (doc_id long, text) outside the held-out fold."""
     sample, total = _examples(docs, labels)
     vocabulary, clean, toxic = _term_counts(sample)
-    ids, label, row, place, n = _vectors(sample, vocabulary)
+    known_terms = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    ids, label, row, place, n = _vectors(sample, known_terms)
     have = [int((label == y).sum()) for y in (0, 1)]
     known = relevance(clean, toxic, *have) if all(have) else np.zeros(len(vocabulary))
     stands_for = tuple(total.get(y, 0) / max(1, have[y]) for y in (0, 1))
-    index = ExampleIndex(vocabulary, _idf(docs, vocabulary) * known, ids, label, row, place, n, stands_for)
+    index = ExampleIndex(vocabulary, _idf(docs, known_terms) * known, ids, label, row, place, n, stands_for)
+    known_terms.destroy()
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def own_votes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,20 +279,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> ExampleIndex:
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in found], pa.int64()), pa.array([v for _, v in found], pa.float64())], ["doc_id", "vote"])
 
     votes = sample.select("doc_id", "text").repartition("doc_id").mapInArrow(own_votes, "doc_id long, vote double").toArrow()
-    index.calibrate(votes.column("doc_id").to_numpy(), votes.column("vote").to_numpy())
-    return index
+    return shared, index.calibration(votes.column("doc_id").to_numpy(), votes.column("vote").to_numpy())
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (nearest examples) of every row."""
     ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shared = docs.sparkSession.sparkContext.broadcast(fit(rows, labels))
+    shared, knots = fit(rows, labels)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for block in blocks(batches):
-            score, near = index.judge(*text_buffer(block.column("text")))
+            score, near = index.judge(*text_buffer(block.column("text")), knots)
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64())]))
             yield pa.RecordBatch.from_arrays([block.column("doc_id"), pa.array(score), pa.array(near, kind)], ["doc_id", "score", "evidence"])
 
