@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 _BASE_INV = pow(_BASE, -1, 1 << 64)

@@ -44,6 +44,8 @@ DEPTH, ANCHOR, DIGIT = 200, 32, 40
 GROUP_ROWS, BUCKET_ROWS = 2000, 10_000
 #: Distances to the anchor are below this power of two.
 REACH = 256
+#: Bytes of text whose runs are matched before the first shuffle.
+MARK_BYTES = 1 << 20
 #: A text of Spark holds fewer than 2**31 bytes.
 _PLACE_BITS = 31
 _RUN = "doc_id long, k long, start int, stop int, at int"
@@ -98,7 +100,7 @@ def merged(start: np.ndarray, stop: np.ndarray, owner: np.ndarray) -> tuple[np.n
 
 def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The runs of a block; those that repeat within it become spans and leave one partner."""
-    for block in blocks(batches):
+    for block in blocks(batches, limit=MARK_BYTES):
         data, offsets = text_buffer(block.column("text"))
         row, first, last, anchor, gram, whole = runs(data, offsets)
         _, lead, back, n = np.unique(whole, return_index=True, return_inverse=True, return_counts=True)
