@@ -5,7 +5,7 @@ A blob of the wrong width, with broken padding or invalid UTF-8 is NULL.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cast import lenient_cast
@@ -13,8 +13,11 @@ from .cast import lenient_cast
 _ALPHABET = r"[^A-Za-z0-9+/=]"
 
 
-def _bytes(b64: Column) -> Column:
-    clean = F.regexp_replace(b64, _ALPHABET, "")
+def _clean(b64: Column) -> Column:
+    return F.regexp_replace(b64, _ALPHABET, "")
+
+
+def _bytes(clean: Column) -> Column:
     return F.when(F.length(clean) % 4 == 0, F.unbase64(clean))
 
 
@@ -38,24 +41,42 @@ def _ieee(bits: Column, sign: Column, exponent: Column, fraction: Column, bias:
     return F.when(bits.isNull(), F.lit(None).cast("double")).when(exponent == top, special).when(exponent == 0, sign * tiny).otherwise(normal)
 
 
+def _bits(raw: Column, kind: str) -> Column:
+    """What the value is made of: the bits of a number, the bytes of any other kind."""
+    if kind in ("int", "float"):
+        return F.conv(_wide(raw, 4), 16, 10).try_cast("bigint")
+    return _signed64(_wide(raw, 8)) if kind in ("bigint", "double") else raw
+
+
 def decode_blob(b64: Column, kind: str) -> Column:
-    """The value of a base64 blob of a configured type."""
-    raw = _bytes(b64)
-    if kind == "blob":
-        return b64
+    """The value of a base64 blob of a configured type, as one expression."""
+    return b64 if kind == "blob" else _value(_bits(_bytes(_clean(b64)), kind), kind)
+
+
+def decode_blobs(rows: DataFrame, blobs: dict[str, tuple[str, str]]) -> DataFrame:
+    """``rows`` with the columns of ``blobs`` decoded: base64 column to (new name, configured type).
+
+    Each step is a column of its own that the next one refers to, so that nothing is decoded twice.
+    """
+    out = rows
+    for step in (lambda c, _: _clean(c), lambda c, _: _bytes(c), _bits, _value):
+        out = out.select(*((F.col(c) if c not in blobs or blobs[c][1] == "blob" else step(F.col(c), blobs[c][1])).alias(c) for c in out.columns))
+    return out.select(*(F.col(c).alias(blobs[c][0] if c in blobs else c) for c in out.columns))
+
+
+def _value(bits: Column, kind: str) -> Column:
+    raw = bits32 = bits64 = bits
     if kind in ("text", "uuid"):
         return F.try_validate_utf8(raw.cast("string"))
     if kind == "boolean":
         return F.when(F.octet_length(raw) >= 1, F.substring(F.hex(raw), 1, 2) != "00")
     if kind == "bigint":
-        return _signed64(_wide(raw, 8))
-    bits32 = F.conv(_wide(raw, 4), 16, 10).try_cast("bigint")
+        return bits64
     if kind == "int":
         return F.when(bits32 >= 2**31, bits32 - 2**32).otherwise(bits32).cast("int")
     if kind == "float":
         sign = F.when(bits32 >= 2**31, F.lit(-1.0)).otherwise(F.lit(1.0))
         return _ieee(bits32, sign, F.shiftright(bits32, 23).bitwiseAND(F.lit(255)), bits32.bitwiseAND(F.lit(2**23 - 1)), 127, 23).cast("float")
-    bits64 = _signed64(_wide(raw, 8))
     sign = F.when(bits64 < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
     return _ieee(bits64, sign, F.shiftrightunsigned(bits64, 52).bitwiseAND(F.lit(2047)), bits64.bitwiseAND(F.lit(2**52 - 1)), 1023, 52)
 

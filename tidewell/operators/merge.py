@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..config import EavSpec, PlainSpec, TableSpec
 from ..functions.cast import event_date
+from .shape import with_deletion
 
 
 def conform(table: DataFrame, spec: TableSpec) -> DataFrame:
@@ -20,67 +21,73 @@ def conform(table: DataFrame, spec: TableSpec) -> DataFrame:
     return table.select(*((F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in empty.schema.fields))
 
 
+def _deleted(name: str, at: Column, spec: TableSpec) -> Column:
+    """A column of a row after its tombstone, if there is one: data goes, keys and event_id stay."""
+    if name in {c for c, _ in spec.data}:
+        return F.when(at.isNull(), F.col(name))
+    if name in ("event_timestamp", "deduptime"):
+        return F.coalesce(at, F.col(name))
+    if name == "event_date":
+        return F.coalesce(event_date(at), F.col(name))
+    return F.col(name)
+
+
 def soft_delete(table: DataFrame, stones: DataFrame, spec: TableSpec) -> DataFrame:
-    """NULL the data of the rows that a tombstone names; keys and event_id stay, rows never go.
+    """NULL the data of the rows that a tombstone (keys, deleted_at) names; rows never go."""
+    marked = with_deletion(table, stones, spec, "__at")
+    return marked.select(*(_deleted(c, F.col("__at"), spec).alias(c) for c in table.columns))
+
+
+def _taken(name: str, new: Column, spec: TableSpec) -> Column:
+    """Whether a column takes the batch's value, for a row that the batch upserts (``new``).
 
-    ``stones`` has the keys and deleted_at.  Null trailing keys name all rows of the prefix, so
-    there is a join for each length of prefix that the key can have.
+    EAV: where its flag is set.  JSON: always.  PLAIN: where the value is not null, or with
+    null_policy presence where the cell is there.
     """
-    names = [c for c, _ in spec.keys]
-    least = len(spec.delete_keys)
-    out, hits = table, []
-    for length in range(least, len(names) + 1):
-        lead, rest = names[:length], names[length:]
-        level = stones.filter(" and ".join([*(f"`{c}` is not null" for c in lead), *(f"`{c}` is null" for c in rest)]))
-        level = level.groupBy(*(F.col(c).alias(f"__d_{c}") for c in lead)).agg(F.max("deleted_at").alias(f"__deleted_{length}"))
-        on = [F.col(c) == F.col(f"__d_{c}") for c in lead]
-        out = out.join(level, on, "left").drop(*(f"__d_{c}" for c in lead))
-        hits.append(f"__deleted_{length}")
-    at = F.greatest(*hits) if len(hits) > 1 else F.col(hits[0])
-    data = {c for c, _ in spec.data}
-
-    def after(name: str) -> Column:
-        if name in data:
-            return F.when(F.col("__at").isNull(), F.col(name))
-        if name in ("event_timestamp", "deduptime"):
-            return F.coalesce("__at", name)
-        if name == "event_date":
-            return F.coalesce(event_date(F.col("__at")), F.col(name))
-        return F.col(name)
-
-    return out.withColumn("__at", at).select(*(after(c).alias(c) for c in table.columns))
+    if name in {c for c, _ in spec.data}:
+        if isinstance(spec, EavSpec):
+            return new & (F.col(f"__s_has_{name}") == 1)
+        if isinstance(spec, PlainSpec):
+            return new & (F.col(f"__s___set_{name}") if spec.null_policy == "presence" else F.col(f"__s_{name}").isNotNull())
+    return new
 
 
-def upsert(table: DataFrame, source: DataFrame, spec: TableSpec) -> DataFrame:
-    """Full outer join of the table and a batch with one row per key.
+def _guarded(new: Column, spec: TableSpec, before: Column) -> Column:
+    if spec.guard == "event_timestamp":
+        return new & (before.isNull() | (F.col("__s_event_timestamp") >= before))
+    return new
 
-    EAV: a column changes where its flag is set.  JSON: all data is replaced.  PLAIN: non-null
-    values win, or with null_policy presence every cell that is there.  Metadata is the batch's.
-    """
+
+def _joined(table: DataFrame, source: DataFrame, spec: TableSpec) -> tuple[DataFrame, list[str]]:
     names = [c for c, _ in spec.keys]
-    data = {c for c, _ in spec.data}
-    s = lambda c: F.col(f"__s_{c}")
     batch = source.select(*(F.col(c).alias(f"__s_{c}") for c in source.columns), F.lit(True).alias("__new"))
-    joined = table.join(batch, [F.col(c) == s(c) for c in names], "full_outer")
-    new = F.coalesce(F.col("__new"), F.lit(False))
-    if spec.guard == "event_timestamp":
-        new = new & (F.col("event_timestamp").isNull() | (s("event_timestamp") >= F.col("event_timestamp")))
+    return table.join(batch, [F.col(c) == F.col(f"__s_{c}") for c in names], "full_outer"), names
+
+
+def upsert(table: DataFrame, source: DataFrame, spec: TableSpec) -> DataFrame:
+    """Full outer join of the table and a batch with one row per key; metadata is the batch's."""
+    joined, names = _joined(table, source, spec)
+    new = _guarded(F.coalesce(F.col("__new"), F.lit(False)), spec, F.col("event_timestamp"))
+    value = lambda c: F.coalesce(c, f"__s_{c}") if c in names else F.when(_taken(c, new, spec), F.col(f"__s_{c}")).otherwise(F.col(c))
+    return joined.select(*(value(c).alias(c) for c in table.columns))
+
 
-    def merged(name: str) -> Column:
-        if name in names:
-            return F.coalesce(name, f"__s_{name}")
-        takes = new
-        if name in data and isinstance(spec, EavSpec):
-            takes = new & (s(f"has_{name}") == 1)
-        elif name in data and isinstance(spec, PlainSpec):
-            takes = new & (s(f"__set_{name}") if spec.null_policy == "presence" else s(name).isNotNull())
-        return F.when(takes, s(name)).otherwise(F.col(name))
+def apply_changes(table: DataFrame, changes: DataFrame, spec: TableSpec) -> DataFrame:
+    """Tombstones and upserts of a batch (``shape.key_changes``) in one full outer join.
 
-    return joined.select(*(merged(c).alias(c) for c in table.columns))
+    A tombstone of a key that the table lacks adds no row.
+    """
+    table = conform(table, spec)
+    joined, names = _joined(table.withColumn("__old", F.lit(True)), changes, spec)
+    at, live = F.col("__s_deleted_at"), F.coalesce(F.col("__s_live"), F.lit(False))
+    kept = joined.filter(F.col("__old") | live)
+    new = _guarded(live, spec, F.coalesce(F.when(F.col("__old"), at), F.col("event_timestamp")))
+    value = lambda c: F.coalesce(c, f"__s_{c}") if c in names else F.when(_taken(c, new, spec), F.col(f"__s_{c}")).when(F.col("__old"), _deleted(c, at, spec))
+    return kept.select(*(value(c).alias(c) for c in table.columns))
 
 
 def merge(table: DataFrame, source: DataFrame, stones: DataFrame | None, spec: TableSpec) -> DataFrame:
-    """The table after a batch: its tombstones first, then its upserts."""
+    """The table after a batch: its tombstones (None if it has none) first, then its upserts."""
     table = conform(table, spec)
     if stones is not None:
         table = soft_delete(table, stones, spec)

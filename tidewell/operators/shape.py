@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import EavSpec, JsonSpec, PlainSpec, TableSpec
-from ..functions.blob import decode_blob
+from ..config import EavSpec, JsonSpec, TableSpec
+from ..functions.blob import decode_blobs
 from ..functions.cast import event_date, lenient_cast
+from .envelope import MUTATION, TOMBSTONE
 
 
 def latest_wins(events: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -16,34 +17,57 @@ def latest_wins(events: DataFrame, keys: list[str], order: list[str]) -> DataFra
     return events.withColumn("__nth", nth).filter("__nth = 1").drop("__nth")
 
 
-def pivot_attributes(events: DataFrame, spec: EavSpec) -> DataFrame:
-    """One wide row per entity: the latest value and the presence flag of each attribute.
+def by_whole_key(spec: TableSpec) -> bool:
+    """Whether a tombstone always names one row, so that it can meet the row's mutations."""
+    return isinstance(spec, EavSpec) or set(spec.delete_keys) == {c for c, _ in spec.keys}
 
-    The latest event of each attribute is found by the same grouping that pivots, so the events
-    are shuffled once; ties on ts_ms go to the larger line.  A null value with its flag set is an
-    attribute delete.  Blobs are decoded after the winners are known.
+
+def key_changes(routed: DataFrame, spec: TableSpec) -> DataFrame:
+    """One row per key of a batch: what it upserts (``live``) and ``deleted_at`` of its tombstones.
+
+    One grouping finds the latest mutation of a key (for EAV of each of its attributes, which become
+    columns with presence flags) and its latest tombstone, so the events are shuffled once.  Ties on
+    ts_ms go to the larger hash of the line, then to the larger value.  A null value whose flag is
+    set is an attribute delete.  Blobs are decoded after the winners are known.  With ordering
+    event_time what is not newer than the key's tombstone is no mutation.
     """
-    order = F.struct("ts_ms", "json_str")
-    latest, flags = [], []
-    for i, (name, _, _) in enumerate(spec.attributes):
-        mine = F.col("column2") == name
-        latest.append(F.max_by(F.struct("blob"), F.when(mine, order)).alias(f"__v{i}"))
-        flags.append(F.max(F.when(mine, 1).otherwise(0)).alias(f"__h{i}"))
-    wide = events.groupBy("entity_key").agg(F.max("ts_ms").alias("event_timestamp"), *latest, *flags)
-    values = [F.when(F.col(f"__h{i}") == 1, decode_blob(F.col(f"__v{i}.blob"), kind)).alias(col) for i, (_, col, kind) in enumerate(spec.attributes)]
-    present = [F.col(f"__h{i}").alias(f"has_{col}") for i, (_, col, _) in enumerate(spec.attributes)]
-    return wide.select(F.col("entity_key").alias(spec.merge_key[0]), "event_timestamp", *values, *present)
-
-
-def expand_json(events: DataFrame, spec: JsonSpec) -> DataFrame:
-    """The configured keys of the embedded JSON texts as typed columns; each text is parsed once."""
+    events = routed.filter(F.col("route").isin(MUTATION, TOMBSTONE))
+    mutation = F.col("route") == MUTATION
+    deleted = F.max(F.when(~mutation, F.col("ts_ms"))).alias("deleted_at")
+    late = lambda ts: F.lit(True) if spec.ordering != "event_time" else F.col("deleted_at").isNull() | (ts > F.col("deleted_at"))
+    names = [c for c, _ in spec.keys]
+    if isinstance(spec, EavSpec):
+        latest = [F.max(F.when(mutation & (F.col("column2") == name), F.struct("ts_ms", "__tie", "blob"))).alias(f"__v{i}") for i, (name, _, _) in enumerate(spec.attributes)]
+        newest = F.max(F.when(mutation, F.col("ts_ms"))).alias("event_timestamp")
+        wide = events.groupBy(F.col("entity_key").alias(names[0])).agg(newest, deleted, *latest)
+        there = [F.coalesce(F.col(f"__v{i}").isNotNull() & late(F.col(f"__v{i}.ts_ms")), F.lit(False)) for i in range(len(spec.attributes))]
+        live = (F.col("event_timestamp").isNotNull() & late(F.col("event_timestamp"))).alias("live")
+        blobs = wide.select(
+            *names, "event_timestamp", "deleted_at", live,
+            *(F.when(t, F.col(f"__v{i}.blob")).alias(f"__b{i}") for i, t in enumerate(there)),
+            *(t.cast("int").alias(f"has_{col}") for (_, col, _), t in zip(spec.attributes, there, strict=True)))
+        rows = decode_blobs(blobs, {f"__b{i}": (col, kind) for i, (_, col, kind) in enumerate(spec.attributes)})
+    else:
+        rest = [c for c in routed.columns if c not in (*names, "json_str", "op", "route", "ts_ms", "__tie")]
+        grouped = events.groupBy(*names).agg(deleted, F.max(F.when(mutation, F.struct("ts_ms", "__tie", *rest))).alias("__v"))
+        ts = F.col("__v.ts_ms")
+        rows = grouped.select(*names, ts.alias("event_timestamp"), "deleted_at", (F.col("__v").isNotNull() & late(ts)).alias("live"), *(F.col(f"__v.{c}").alias(c) for c in rest))
+        if isinstance(spec, JsonSpec):
+            rows = expand_json(rows, spec, "event_timestamp", "deleted_at", "live")
+    return enrich(rows, spec)
+
+
+def expand_json(events: DataFrame, spec: JsonSpec, *carried: str) -> DataFrame:
+    """The configured keys of the embedded JSON texts as typed columns, and ``carried``; each text is parsed once."""
     parsed = {}
     for source in dict.fromkeys(s for s, *_ in spec.json_columns):
         fields = ", ".join(f"`{key}` string" for s, key, *_ in spec.json_columns if s == source)
         parsed[source] = F.from_json(F.col(f"__json_{source}"), fields)
-    held = events.withColumns({f"__parsed_{s}": c for s, c in parsed.items()})
+    held = events
+    for source, text in parsed.items():
+        held = held.select("*", F.explode(F.array(text)).alias(f"__parsed_{source}"))
     metrics = [lenient_cast(F.col(f"__parsed_{s}").getField(key), kind).alias(col) for s, key, col, kind in spec.json_columns]
-    return held.select(*(c for c, _ in spec.keys), "ts_ms", *metrics)
+    return held.select(*(c for c, _ in spec.keys), *carried, *metrics)
 
 
 def event_id(spec: TableSpec) -> Column:
@@ -63,13 +87,12 @@ def enrich(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 def upserts(mutations: DataFrame, spec: TableSpec) -> DataFrame:
     """One enriched row per key of the mutations of a batch."""
-    if isinstance(spec, EavSpec):
-        return enrich(pivot_attributes(mutations, spec), spec)
-    latest = latest_wins(mutations, list(spec.merge_key), ["ts_ms", "json_str"])
+    if by_whole_key(spec):
+        return key_changes(mutations, spec).filter("live").drop("live", "deleted_at")
+    latest = latest_wins(mutations, list(spec.merge_key), ["ts_ms", "__tie"])
     if isinstance(spec, JsonSpec):
-        latest = expand_json(latest, spec)
-    assert isinstance(spec, (JsonSpec, PlainSpec))
-    return enrich(latest.withColumnRenamed("ts_ms", "event_timestamp").drop("json_str", "op", "route"), spec)
+        latest = expand_json(latest, spec, "ts_ms")
+    return enrich(latest.withColumnRenamed("ts_ms", "event_timestamp").drop("json_str", "op", "route", "__tie"), spec)
 
 
 def tombstones(deletes: DataFrame, spec: TableSpec) -> DataFrame:
@@ -79,18 +102,25 @@ def tombstones(deletes: DataFrame, spec: TableSpec) -> DataFrame:
     return deletes.groupBy(*(c for c, _ in spec.keys)).agg(F.max("ts_ms").alias("deleted_at"))
 
 
+def with_deletion(rows: DataFrame, stones: DataFrame, spec: TableSpec, at: str) -> DataFrame:
+    """``rows`` with ``at``: the latest of ``stones`` (keys, deleted_at) that names the row, or NULL.
+
+    Null trailing keys name all rows of the prefix, so there is a join for each length of prefix
+    that the key can have.
+    """
+    names = [c for c, _ in spec.keys]
+    out, hits = rows, []
+    for length in range(len(spec.delete_keys), len(names) + 1):
+        lead, rest = names[:length], names[length:]
+        level = stones.filter(" and ".join([*(f"`{c}` is not null" for c in lead), *(f"`{c}` is null" for c in rest)]))
+        level = level.groupBy(*(F.col(c).alias(f"__d_{c}") for c in lead)).agg(F.max("deleted_at").alias(f"__deleted_{length}"))
+        on = [F.col(c) == F.col(f"__d_{c}") for c in lead]
+        out = out.join(level, on, "left").drop(*(f"__d_{c}" for c in lead))
+        hits.append(f"__deleted_{length}")
+    return out.withColumn(at, F.greatest(*hits) if len(hits) > 1 else F.col(hits[0])).drop(*hits)
+
+
 def newer_than_tombstones(mutations: DataFrame, stones: DataFrame, spec: TableSpec) -> DataFrame:
-    """The mutations later than every tombstone of their partition key in the same batch."""
-    keys = list(spec.delete_keys)
-    events = mutations.withColumn(keys[0], F.col("entity_key")) if isinstance(spec, EavSpec) else mutations
-    rows = stones.groupBy(*keys).agg(F.collect_list(F.struct(*(c for c, _ in spec.keys), "deleted_at")).alias("__stones"))
-    inner = [c for c, _ in spec.keys if c not in keys]
-
-    def beats(s: Column) -> Column:
-        hit = s["deleted_at"] >= F.col("ts_ms")
-        for c in inner:
-            hit = hit & (s[c].isNull() | (s[c] == F.col(c)))
-        return hit
-
-    kept = events.join(rows, keys, "left").filter(F.col("__stones").isNull() | ~F.exists("__stones", beats))
-    return kept.select(*mutations.columns)
+    """The mutations later than every tombstone of their keys in the same batch."""
+    marked = with_deletion(mutations, stones, spec, "__at")
+    return marked.filter("__at is null or ts_ms > __at").select(*mutations.columns)

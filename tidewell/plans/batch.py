@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 from ..config import TableSpec
 from ..operators import envelope, shape
-from ..operators.merge import merge
+from ..operators.merge import apply_changes, merge
 
 
 @dataclass(frozen=True)
 class BatchPlan:
-    """All parts are lazy; ``routed`` is the one parse that the others share."""
+    """All parts are lazy.  ``routed`` parses the lines; a table whose tombstones name whole keys needs it once."""
 
     spec: TableSpec
     routed: DataFrame
@@ -30,12 +30,17 @@ class BatchPlan:
     @property
     def upserts(self) -> DataFrame:
         mutations = self.routed.filter(F.col("route") == envelope.MUTATION)
+        if self.spec.ordering == "event_time" and shape.by_whole_key(self.spec):
+            return shape.key_changes(self.routed, self.spec).filter("live").drop("live", "deleted_at")
         if self.spec.ordering == "event_time":
             mutations = shape.newer_than_tombstones(mutations, self.stones, self.spec)
         return shape.upserts(mutations, self.spec)
 
-    def apply(self, table: DataFrame) -> DataFrame:
-        return merge(table, self.upserts, self.stones, self.spec)
+    def apply(self, table: DataFrame, deletes: bool = True) -> DataFrame:
+        """The next table; ``deletes`` False says that the batch is known to have no tombstones."""
+        if shape.by_whole_key(self.spec):
+            return apply_changes(table, shape.key_changes(self.routed, self.spec), self.spec)
+        return merge(table, self.upserts, self.stones if deletes else None, self.spec)
 
 
 def plan_batch(lines: DataFrame, spec: TableSpec) -> BatchPlan:

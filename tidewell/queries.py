@@ -124,7 +124,7 @@ def json_expand_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = _spec("by_id", JSON_EMBEDDED, partition_keys=[{"name": "event_id", "type": "bigint"}], clustering_keys=[], merge_key=["event_id"], json_columns={"props": {"k": {"col": "k", "type": "int"}, "none": {"col": "missing", "type": "double"}}})
     lines = event_lines(_table(spark, sf_dir, "events"), F.lit(1), F.lit("i"), {"event_id": cell(F.col("event_id").cast("string")), "props": cell(F.col("props"))})
     parsed = plan_batch(lines, spec).routed.filter(F.col("route") == envelope.MUTATION)
-    return shape.expand_json(parsed, spec).select("event_id", "k", "missing")
+    return shape.expand_json(parsed, spec, "ts_ms").select("event_id", "k", "missing")
 
 
 def json_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

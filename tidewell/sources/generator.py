@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.blob import encode_blob
-
 
 def cell(value: Column) -> Column:
     return F.struct(value.alias("value"), F.lit(None).cast("bigint").alias("deletion_ts"), F.lit(True).alias("set"))
@@ -21,8 +19,3 @@ def event_lines(rows: DataFrame, ts_ms: Column, op: Column, cells: dict[str, Col
     after = F.struct(*(c.alias(name) for name, c in cells.items()))
     line = F.to_json(F.struct(ts_ms.alias("ts_ms"), op.alias("op"), after.alias("after")), {"ignoreNullFields": "false"})
     return rows.select(line.alias("json_str"), *keep)
-
-
-def attribute_lines(rows: DataFrame, ts_ms: Column, op: Column, key: Column, attribute: Column, value: Column, kind: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Events of a vertical table: (key, column2, blob of value)."""
-    return event_lines(rows, ts_ms, op, {"key": cell(key.cast("string")), "column2": cell(attribute), "value": cell(encode_blob(value, kind))}, keep)
