@@ -26,10 +26,6 @@ def test_query_meets_its_oracle(spark, duck, name):
     assert got == sorted(tuple(map(str, r)) for r in want) and got
 
 
-def test_every_query_without_an_oracle_runs(spark):
+def test_every_query_has_an_oracle():
     rest = set(own.queries()) - set(own.oracle_sql())
-    assert rest == {"table_history", "verify_report"}
-    history = own.table_history(spark, SF_DIR).collect()
-    assert [(r.version, r.operation) for r in history] == [(2, "MERGE"), (1, "MERGE"), (0, "WRITE")]
-    report = own.verify_report(spark, SF_DIR).first()
-    assert report.ok and report.silver_version == 2 and report.silver_rows > 0 and report.dead_letters == 0
+    assert rest == set()

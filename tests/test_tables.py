@@ -14,7 +14,8 @@ from tidewell.plans.batch import plan_batch, replay
 from tidewell.sources.bronze import read_lines, unconfigured_topics, write_lines
 from tidewell.streaming import runner
 from tidewell.streaming.store import SnapshotStore
-from tidewell.verify import operation_breakdown, report
+from tidewell.trace import trace_entity
+from tidewell.verify import details, operation_breakdown, report
 
 
 def line(ts, op, **cells):
@@ -122,8 +123,8 @@ def test_versions(spark, placed):
     assert store.read().count() == 20 and store.read().filter("user_status = 'B' and pilot_id = 0").count() == 1
     assert store.read(0).filter("user_status is not null").count() == 0
     assert store.compact() == 2 and store.compact() is None and store.read().count() == 20
-    assert store.expire(1) == [0, 1] and store.read().count() == 20
     assert [r.operation for r in store.history(2).collect()] == ["COMPACT", "MERGE"]
+    assert store.expire(1) == [0, 1] and store.read().count() == 20 and [r.operation for r in store.history().collect()] == ["COMPACT"]
     # a column added to the configuration is NULL in old rows
     wider = replace(spec, attributes=(*spec.attributes, ("x", "x", "int")))
     assert SnapshotStore(spark, wider).merge(plan_batch(lines(spark, attr(3, "u5", "x", b"\0\0\0\7")), wider)) == 3
@@ -148,15 +149,61 @@ def test_lines_on_disk(spark, tmp_path):
     assert unconfigured_topics(spark, f"file://{tmp_path}/topics", {"other"}) == ["t"] and unconfigured_topics(spark, f"file://{tmp_path}/none", set()) == []
 
 
+def dead_letters(spark, spec, batch):
+    return spark.read.option("recursiveFileLookup", "true").json(spec.dead_letter_path).filter(F.col("batch_id") == batch)
+
+
+def test_a_new_checkpoint_loses_nothing(spark, placed, tmp_path):
+    """Batch numbers start anew with a checkpoint: neither events nor dead letters are taken for old ones."""
+    spec = replace(placed(USERS), keep_versions=2, buckets=3)
+    for turn in (1, 2, 3):
+        write_lines(lines(spark, attr(turn, f"u{turn}", "pilotId", bytes([0, 0, 0, turn])), f"corrupt {turn}"), spec.bronze_path)
+        one = replace(spec, checkpoint_path=f"{spec.checkpoint_path}/{turn}")
+        runner.start(spark, one, once=True).awaitTermination()
+    store = SnapshotStore(spark, spec)
+    assert rows(store.read(), "uuid", "pilot_id") == [("u1", 1), ("u2", 2), ("u3", 3)] and store.buckets == 3
+    bad = [r.json_str for r in dead_letters(spark, spec, 0).collect()]
+    assert sorted(set(bad)) == ["corrupt 1", "corrupt 2", "corrupt 3"] and len(bad) == 6  # a new checkpoint reads all files again
+    assert [r.version for r in store.history().collect()] == [2, 1] and len(store.latest()["batches"]) == 3
+    assert store.compact(buckets=5) == 3 and store.compact(buckets=5) is None and rows(SnapshotStore(spark, spec).read(), "uuid") == [("u1",), ("u2",), ("u3",)]
+    seen = details(spark, spec)
+    assert [(r.op, r.events) for r in seen["operations"].filter("op is not null").collect()] == [("i", 3)] and seen["events"].count() == 3
+    assert rows(seen["values of pilot_id"], "pilot_id") == [(1,), (2,), (3,)] and rows(seen["values of uuid"], "uuid") == [("u1",), ("u2",), ("u3",)]
+    assert seen["columns"].count() == len(store.read().columns) and seen["history"].first().operation == "COMPACT" and seen["dead_letters"].count() == 3 and seen["rows"].count() == 3
+
+
+def test_the_log_is_not_read_again(spark, placed):
+    spec = placed(USERS)
+    store = SnapshotStore(spark, spec)
+    for batch in range(3):
+        store.merge(plan_batch(lines(spark, attr(batch, "u1", "pilotId", bytes([0, 0, 0, batch]))), spec), "q", batch)
+    assert store.expire(1) == [0, 1] and store.committed("q", 0) and store.committed("q", 2) and not store.committed("q", 3) and not store.committed("other", 0)
+    assert store.merge(plan_batch(lines(spark, attr(9, "u1", "pilotId", b"\0\0\0\7")), spec), "q", 1) is None
+
+
+def test_trace(spark):
+    batch = lines(spark, attr(1, "u1", "pilotId", b"\0\0\0\1"), attr(2, "u1", "pilotId", b"\0\0\0\2"), attr(1, "u1", "userStatus", b"A"), attr(1, "u2", "pilotId", b"\0\0\0\3"))
+    got = [(r.step, r.position) for r in trace_entity(batch, USERS).collect()]
+    assert got == [("parsed", 1), ("parsed", 2), ("parsed", 3), ("latest", 1), ("latest", 2), ("shaped", 1)]
+    shaped = json.loads(trace_entity(batch, USERS, "u2").filter("step = 'shaped'").first().content)
+    assert shaped["uuid"] == "u2" and shaped["pilot_id"] == 3 and shaped["has_user_status"] == 0
+
+
+def test_plans_parse_and_decode_once(spark):
+    batch = lines(spark, attr(1, "u1", "pilotId", b"\0\0\0\1"), line(2, "d", key="u1", column2=None))
+    plan = replay(spark, [batch], USERS)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("unbase64(") == len(USERS.attributes)
+
+
 def test_streams(spark, placed, monkeypatch):
     spec, other, alerts, counts = placed(USERS), placed(PILOTS), [], []
     put = [attr(1, "u1", "pilotId", b"\0\0\0\1"), attr(1, "u1", "strange", b"x"), '{"ts_ms": "x"}']
     write_lines(lines(spark, *put), spec.bronze_path)
     tables = {"users": spec, "pilots": replace(other, enabled=True), "off": replace(other, enabled=False)}
     runner.run(spark, tables, alert=alerts.append, once=True)
-    assert [(a.kind, a.details) for a in alerts] == [("unknown_attribute", {"attributes": ["strange"]})]
+    assert [(a.kind, a.details) for a in alerts] == [("unknown_attribute", {"attributes": ["strange"], "events": 1})]
     assert rows(SnapshotStore(spark, spec).read(), "uuid", "pilot_id") == [("u1", 1)]
-    dead = spark.read.json(f"{spec.dead_letter_path}/batch_0")
+    dead = dead_letters(spark, spec, 0)
     assert rows(dead, "table", "batch_id", "reason", "json_str") == [("users", 0, "corrupt", '{"ts_ms": "x"}')]
     # nothing new: nothing happens; then a failing batch is kept aside and the stream goes on
     runner.start(spark, spec, once=True, on_counts=lambda b, c: counts.append(c)).awaitTermination()
@@ -167,7 +214,7 @@ def test_streams(spark, placed, monkeypatch):
         raise RuntimeError("injected")
 
     runner.start(spark, spec, alerts.append, once=True, on_counts=fail).awaitTermination()
-    assert alerts[-1].kind == "table_failure" and "injected" in spark.read.json(f"{spec.dead_letter_path}/batch_1").first().reason
+    assert alerts[-1].kind == "table_failure" and "injected" in dead_letters(spark, spec, 1).first().reason
     write_lines(lines(spark, attr(3, "u3", "pilotId", b"\0\0\0\3")), spec.bronze_path)
     runner.start(spark, spec, once=True, on_counts=lambda b, c: counts.append(c)).awaitTermination()
     assert counts == [{"mutation": 1}] and rows(SnapshotStore(spark, spec).read(), "uuid") == [("u1",), ("u3",)]

@@ -30,8 +30,8 @@ def table_failure(table: str, batch_id: int, error: BaseException) -> Alert:
     return Alert(TABLE_FAILURE, table, f"batch {batch_id} failed and was dead-lettered", {"batch_id": batch_id, "error": f"{type(error).__name__}: {error}"[:2000]})
 
 
-def unknown_attributes(table: str, names: list[str]) -> Alert:
-    return Alert(UNKNOWN_ATTRIBUTE, table, "attributes that the configuration does not name; add them and restart", {"attributes": sorted(names)})
+def unknown_attributes(table: str, names: list[str], events: int) -> Alert:
+    return Alert(UNKNOWN_ATTRIBUTE, table, "attributes that the configuration does not name; add them and restart", {"attributes": sorted(names), "events": events})
 
 
 def unknown_topic(topic: str) -> Alert:

@@ -39,6 +39,12 @@ class TableSpec:
     null_policy: str = "non_null_wins"  # or presence: a cell that is there and null sets NULL (PLAIN)
     event_ids: str = "uuid"  # or deterministic
     delete_ops: tuple[str, ...] = ("d",)
+    #: Settings of the stream and the stored table; all optional in YAML.
+    buckets: int = 16  # of a new table: about its bytes / 256 MB
+    trigger: str = "30 seconds"
+    max_files_per_trigger: int | None = None
+    keep_versions: int | None = None  # older data and log records go after a batch
+    kafka_servers: str | None = None  # read kafka_topic from there instead of bronze_path
 
     @property
     def keys(self) -> tuple[tuple[str, str], ...]:
@@ -204,7 +210,8 @@ def _check_plain(cfg: dict, where: str) -> list[str]:
 
 
 _CHECKS = {EAV: _check_eav, JSON_EMBEDDED: _check_json, PLAIN: _check_plain}
-_MODES = ("ordering", "guard", "null_policy", "event_ids", "delete_ops")
+_MODES = ("ordering", "guard", "null_policy", "event_ids", "delete_ops", "buckets", "trigger", "max_files_per_trigger", "keep_versions", "kafka_servers")
+_COUNTS = ("buckets", "max_files_per_trigger", "keep_versions")
 
 
 def check(name: str, cfg: object) -> list[str]:
@@ -217,6 +224,7 @@ def check(name: str, cfg: object) -> list[str]:
     if kind not in _CHECKS:
         return [*errors, f"{where} invalid type '{kind}': one of {sorted(_CHECKS)}"]
     errors += [f"{where} missing required field: '{f}'" for f in TYPE_FIELDS[kind] if f not in cfg]
+    errors += [f"{where} '{f}' must be a positive whole number" for f in _COUNTS if cfg.get(f, 1) is not None and (type(cfg.get(f, 1)) is not int or cfg.get(f, 1) < 1)]
     return errors + _CHECKS[kind](cfg, f"{where} {kind}:")
 
 

@@ -22,6 +22,7 @@ from .sources.bronze import write_lines
 from .sources.generator import cell, event_lines
 from .streaming.runner import start
 from .streaming.store import SnapshotStore
+from .trace import trace_entity
 from .verify import distinct_values, report
 
 KINDS = ("click", "view", "purchase", "signup")
@@ -224,9 +225,18 @@ def enrich_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _base(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/streams-{uuid.uuid4().hex}" if shared else "file://" + tempfile.mkdtemp(prefix="tidewell-streams-")
 
 
+def trace_event(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that win for the user whose name sorts first."""
+    steps = trace_entity(_event_lines(_table(spark, sf_dir, "events")), _event_spec())
+    seen = F.from_json("content", "entity_key string, column2 string, ts_ms long")
+    return steps.filter("step = 'latest'").select("position", seen.alias("e")).select("position", F.col("e.entity_key").alias("user"), F.col("e.column2").alias("attribute"), F.col("e.ts_ms").alias("ts_ms"))
+
+
 def _streamed(spark: SparkSession, sf_dir: str) -> TableSpec:
     """The three batches as files, each taken in by a run of the stream on one checkpoint."""
     spec = _event_spec(_base(spark))
@@ -242,7 +252,7 @@ def stream_replay_eav(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = SnapshotStore(spark, _streamed(spark, sf_dir)).history(5)
-    return history.select("version", "operation", F.col("metrics")["numOutputRows"].alias("rows_written"))
+    return history.select("version", "operation", F.col("metrics")["numTargetRowsInserted"].alias("rows_inserted"))
 
 
 def verify_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,11 +277,12 @@ def _state(before: str, batch: int) -> str:
 
 
 _WIDE = _each("max(CASE WHEN a = '@' THEN v END) AS @") + ", " + _each("max(CASE WHEN a = '@' THEN 1 ELSE 0 END) AS has_@")
-_UPSERT_SQL = f"""WITH {_E},
+_STATES_SQL = f"""WITH {_E},
 lv AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, a, b ORDER BY t DESC) AS n FROM e WHERE a <> 'error') WHERE n = 1),
 w AS (SELECT k, b, max(t) AS t, {_WIDE} FROM lv GROUP BY k, b),
 d AS (SELECT k, b, max(t) AS t FROM e WHERE a = 'error' GROUP BY k, b),
-s0 AS (SELECT k, {_each('@')}, t FROM w WHERE b = 0), {_state('s0', 1)}, {_state('s1', 2)}
+s0 AS (SELECT k, {_each('@')}, t FROM w WHERE b = 0), {_state('s0', 1)}, {_state('s1', 2)}"""
+_UPSERT_SQL = f"""{_STATES_SQL}
 SELECT k AS "user", {_each('@')}, t AS event_timestamp FROM s2"""
 _ORDER_SQL = "SELECT o_orderkey AS orderkey, {custkey} AS custkey, {status} AS status, {totalprice} AS totalprice, {priority} AS priority, CAST({t} AS BIGINT) AS event_timestamp FROM orders"
 _PLAIN_COLUMNS = {"custkey": "o_custkey", "status": "o_orderstatus", "totalprice": "o_totalprice", "priority": "o_orderpriority", "t": "1"}
@@ -296,6 +307,13 @@ lv AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k, a ORDER BY t
 SELECT k AS "user", {_each("max(CASE WHEN a = '@' THEN v END) AS @", first)}, {_each("max(CASE WHEN a = '@' THEN 1 ELSE 0 END) AS has_@", first)}, max(t) AS event_timestamp FROM lv GROUP BY k""",
         "eav_upsert_batches": _UPSERT_SQL,
         "stream_replay_eav": _UPSERT_SQL,
+        "table_history": f"""SELECT version, CASE version WHEN 0 THEN 'WRITE' ELSE 'MERGE' END AS operation, rows - coalesce(lag(rows) OVER (ORDER BY version), 0) AS rows_inserted FROM (
+{_STATES_SQL} SELECT CAST(0 AS BIGINT) AS version, (SELECT count(*) FROM s0) AS rows UNION ALL SELECT 1, (SELECT count(*) FROM s1) UNION ALL SELECT 2, (SELECT count(*) FROM s2))""",
+        "verify_report": f"""SELECT 'events' AS "table", 'EavSpec' AS type, (SELECT count(*) FROM events) AS bronze_events, true AS silver_exists, CAST(2 AS BIGINT) AS silver_version,
+(SELECT count(*) FROM ({_UPSERT_SQL})) AS silver_rows, CAST(0 AS BIGINT) AS dead_letters, true AS ok""",
+        "trace_event": f"""WITH {_E},
+m AS (SELECT a, max(t) AS ts_ms FROM e WHERE a <> 'error' AND k = (SELECT min(k) FROM e) GROUP BY a)
+SELECT row_number() OVER (ORDER BY a) AS position, (SELECT min(k) FROM e) AS "user", a AS attribute, ts_ms FROM m""",
         "eav_event_time_ordering": f"""WITH {_E},
 d AS (SELECT k, max(t) AS dt FROM e WHERE a = 'error' GROUP BY k),
 m AS (SELECT e.* FROM e LEFT JOIN d USING (k) WHERE a <> 'error' AND (dt IS NULL OR t > dt)),
@@ -321,6 +339,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         eav_roundtrip_customer, eav_decode_types, eav_pivot_events, eav_upsert_batches, eav_event_time_ordering, json_expand_events, json_upsert,
         json_partition_delete, plain_upsert_nonnull, plain_upsert_presence, plain_soft_delete, plain_late_guard, dedup_latest, corrupt_route, op_breakdown,
-        distinct_partitions, unknown_attributes, enrich_event_date, stream_replay_eav, table_history, verify_report,
+        distinct_partitions, unknown_attributes, enrich_event_date, stream_replay_eav, table_history, verify_report, trace_event,
     ]
     return {f.__name__: f for f in found}

@@ -44,6 +44,16 @@ def file_system(spark: SparkSession, path: str):
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+def read_file(spark: SparkSession, path: str) -> str:
+    """The text of one small file."""
+    fs, at = file_system(spark, path)
+    stream = fs.open(at)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def ensure_folder(spark: SparkSession, path: str) -> None:
     """Make the folder, so that a stream can start before its first event."""
     fs, at = file_system(spark, path)

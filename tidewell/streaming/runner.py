@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Callable
 
@@ -14,42 +15,55 @@ from ..alerts import AlertSink, log_sink, table_failure, unknown_attributes, unk
 from ..config import EavSpec, TableSpec
 from ..operators.envelope import CORRUPT, DROPPED, MUTATION, TOMBSTONE
 from ..plans.batch import plan_batch
-from ..sources.bronze import ensure_folder, stream_lines, unconfigured_topics
+from ..sources.bronze import ensure_folder, kafka_lines, read_file, stream_lines, unconfigured_topics
 from .store import SnapshotStore
 
 log = logging.getLogger("tidewell")
-TRIGGER = "30 seconds"
+#: Unknown attributes that an alert names; the events are all counted.
+NAMED = 100
 Handler = Callable[[DataFrame, int], None]
 
 
-def dead_letter(lines: DataFrame, spec: TableSpec, batch_id: int, reason: str) -> None:
+def checkpoint_id(spark: SparkSession, spec: TableSpec) -> str:
+    """The id that Spark gave the checkpoint: it survives restarts, and a new checkpoint has a new one.
+
+    Batch numbers start anew with a checkpoint, so only with this id do they name a batch.
+    """
+    return json.loads(read_file(spark, f"{spec.checkpoint_path.rstrip('/')}/metadata"))["id"]
+
+
+def dead_letter(lines: DataFrame, spec: TableSpec, query_id: str, batch_id: int, reason: str) -> None:
     """Write lines (json_str) as {table, batch_id, reason, json_str}; a replay of the batch replaces them."""
     rows = lines.select(F.lit(spec.name).alias("table"), F.lit(batch_id).cast("bigint").alias("batch_id"), F.lit(reason).alias("reason"), "json_str")
-    rows.write.mode("overwrite").json(f"{spec.dead_letter_path.rstrip('/')}/batch_{batch_id}")
+    rows.write.mode("overwrite").json(f"{spec.dead_letter_path.rstrip('/')}/{query_id}/batch_{batch_id}")
 
 
-def handler(spec: TableSpec, query_id: str, alert: AlertSink = log_sink, on_counts: Callable[[int, dict[str, int]], None] | None = None) -> Handler:
+def handler(spec: TableSpec, alert: AlertSink = log_sink, on_counts: Callable[[int, dict[str, int]], None] | None = None) -> Handler:
     """Parse a micro-batch once, count its routes, write its corrupt lines, merge the rest."""
 
     def handle(lines: DataFrame, batch_id: int) -> None:
+        query_id = checkpoint_id(lines.sparkSession, spec)
         plan = plan_batch(lines, spec)
         plan.routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            named = F.col("column2").isin([a for a, _, _ in spec.attributes]) if isinstance(spec, EavSpec) else F.lit(True)
-            unknown = F.when((F.col("route") == MUTATION) & ~named, F.col("column2") if isinstance(spec, EavSpec) else F.lit(None))
-            seen = plan.routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.collect_set(unknown).alias("unknown")).collect()
+            unknown = (F.col("route") == MUTATION) & (~F.col("column2").isin([a for a, _, _ in spec.attributes]) if isinstance(spec, EavSpec) else F.lit(False))
+            seen = plan.routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.count_if(unknown).alias("unknown")).collect()
             counts = {r["route"]: r["n"] for r in seen}
             if on_counts:
                 on_counts(batch_id, counts)
             if counts.get(DROPPED):
                 log.info("%s batch %d: %d events name no entity", spec.name, batch_id, counts[DROPPED])
-            strange = [a for r in seen for a in r["unknown"]]
+            strange = sum(r["unknown"] for r in seen)
             if strange:
-                alert(unknown_attributes(spec.name, strange))
+                names = plan.routed.filter(unknown).select("column2").distinct().limit(NAMED).collect()
+                alert(unknown_attributes(spec.name, [r[0] for r in names], strange))
             if counts.get(CORRUPT):
-                dead_letter(plan.corrupt, spec, batch_id, "corrupt")
+                dead_letter(plan.corrupt, spec, query_id, batch_id, "corrupt")
             if counts.get(MUTATION) or counts.get(TOMBSTONE):
-                SnapshotStore(lines.sparkSession, spec, alert=alert).merge(plan, query_id, batch_id)
+                store = SnapshotStore(lines.sparkSession, spec, alert=alert)
+                store.merge(plan, query_id, batch_id, deletes=bool(counts.get(TOMBSTONE)))
+                if spec.keep_versions:
+                    store.expire(spec.keep_versions)
         finally:
             plan.routed.unpersist()
 
@@ -65,7 +79,7 @@ def isolated(handle: Handler, spec: TableSpec, alert: AlertSink = log_sink) -> H
         except Exception as error:  # noqa: BLE001 - one table's failure must not stop the others
             alert(table_failure(spec.name, batch_id, error))
             try:
-                dead_letter(lines, spec, batch_id, f"{type(error).__name__}: {error}"[:500])
+                dead_letter(lines, spec, checkpoint_id(lines.sparkSession, spec), batch_id, f"{type(error).__name__}: {error}"[:500])
             except Exception:  # noqa: BLE001
                 log.exception("%s batch %d: the dead letter could not be written", spec.name, batch_id)
 
@@ -74,11 +88,15 @@ def isolated(handle: Handler, spec: TableSpec, alert: AlertSink = log_sink) -> H
 
 def start(spark: SparkSession, spec: TableSpec, alert: AlertSink = log_sink, once: bool = False, max_files: int | None = None, **hooks) -> StreamingQuery:
     """Start the stream of one table; ``once`` takes what is there and ends."""
-    ensure_folder(spark, spec.bronze_path)
+    if spec.kafka_servers:
+        lines = kafka_lines(spark, spec.kafka_servers, spec.topic)
+    else:
+        ensure_folder(spark, spec.bronze_path)
+        lines = stream_lines(spark, spec.bronze_path, max_files or spec.max_files_per_trigger)
     SnapshotStore(spark, spec, alert=alert).check_partitions()
-    handle = isolated(handler(spec, spec.checkpoint_path, alert, **hooks), spec, alert)
-    writer = stream_lines(spark, spec.bronze_path, max_files).writeStream.queryName(f"tidewell-{spec.name}").foreachBatch(handle).option("checkpointLocation", spec.checkpoint_path)
-    return writer.trigger(availableNow=True).start() if once else writer.trigger(processingTime=TRIGGER).start()
+    handle = isolated(handler(spec, alert, **hooks), spec, alert)
+    writer = lines.writeStream.queryName(f"tidewell-{spec.name}").foreachBatch(handle).option("checkpointLocation", spec.checkpoint_path)
+    return writer.trigger(availableNow=True).start() if once else writer.trigger(processingTime=spec.trigger).start()
 
 
 def run(spark: SparkSession, tables: dict[str, TableSpec], topics_base: str | None = None, alert: AlertSink = log_sink, once: bool = False) -> dict[str, StreamingQuery]:

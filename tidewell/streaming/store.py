@@ -2,7 +2,8 @@
 
 ``data/v=<n>/__bucket=<b>/...`` holds the buckets that version n wrote; ``_log/<n>.json`` is written
 last and says which version holds each bucket, so half-written versions are invisible and a batch
-rewrites only the buckets that its keys fall into.  Rows are dealt to buckets by the leading keys
+rewrites only the buckets that its keys fall into.  The record also holds the last batch of every
+query, so the newest record alone tells whether a batch is committed.  Rows are dealt to buckets by the leading keys
 that every tombstone has, so a delete of a prefix stays within one bucket.  One writer a table.
 """
 
@@ -20,18 +21,17 @@ from ..alerts import AlertSink, log_sink, partition_change
 from ..config import EavSpec, TableSpec
 from ..operators.envelope import MUTATION, TOMBSTONE
 from ..plans.batch import BatchPlan, empty_table
-from ..sources.bronze import file_system, folders
+from ..sources.bronze import file_system, folders, read_file
 
-BUCKETS = 16
-_LOG = "version bigint, timestamp bigint, operation string, metrics map<string,bigint>, partitionColumns array<string>, schema string, queryId string, batchId bigint, bucketCount int, buckets map<string,bigint>"
+_LOG = "version bigint, timestamp bigint, operation string, metrics map<string,bigint>, partitionColumns array<string>, schema string, queryId string, batchId bigint, bucketCount int, buckets map<string,bigint>, batches map<string,bigint>"
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, spec: TableSpec, buckets: int = BUCKETS, alert: AlertSink = log_sink):
+    def __init__(self, spark: SparkSession, spec: TableSpec, buckets: int | None = None, alert: AlertSink = log_sink):
         self.spark, self.spec, self.alert = spark, spec, alert
         self.path = spec.silver_path.rstrip("/")
         latest = self.latest()
-        self.buckets = latest["bucketCount"] if latest else buckets
+        self.buckets = latest["bucketCount"] if latest else buckets or spec.buckets
 
     def _versions(self) -> list[int]:
         fs, at = file_system(self.spark, f"{self.path}/_log")
@@ -41,8 +41,7 @@ class SnapshotStore:
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
     def _record(self, version: int) -> dict:
-        row = self.spark.read.schema(_LOG).json(f"{self.path}/_log/{version}.json").first()
-        return row.asDict()
+        return json.loads(read_file(self.spark, f"{self.path}/_log/{version}.json"))
 
     def latest(self) -> dict | None:
         versions = self._versions()
@@ -108,10 +107,15 @@ class SnapshotStore:
             raise RuntimeError(f"version {record['version']} of {self.spec.name} was written by another writer")
 
     def committed(self, query_id: str, batch_id: int) -> bool:
-        return not self.history().filter((F.col("queryId") == query_id) & (F.col("batchId") == batch_id)).isEmpty()
+        """Whether the table holds this batch of a query, whose batches come in order."""
+        latest = self.latest()
+        return bool(latest) and latest.get("batches", {}).get(query_id, -1) >= batch_id
+
+    def merge(self, plan: BatchPlan, query_id: str = "", batch_id: int = -1, deletes: bool = True) -> int | None:
+        """Apply a batch as one new version; None if it is committed already or changes nothing.
 
-    def merge(self, plan: BatchPlan, query_id: str = "", batch_id: int = -1) -> int | None:
-        """Apply a batch as one new version; None if it is committed already or changes nothing."""
+        ``deletes`` False says that the batch is known to have no tombstones.
+        """
         if query_id and self.committed(query_id, batch_id):
             return None
         latest = self.latest()
@@ -126,34 +130,37 @@ class SnapshotStore:
         if known:  # an empty relation would be optimised away together with its observation
             target = target.observe(before, F.count(F.lit(1)).alias("rows"))
         version = latest["version"] + 1 if latest else 0
-        changed = plan.apply(target).observe(after, F.count(F.lit(1)).alias("rows"))
+        changed = plan.apply(target, deletes).observe(after, F.count(F.lit(1)).alias("rows"))
         written = self._write(changed, version)
         old, new = (before.get["rows"] if known else 0), after.get["rows"]
         held = (latest["buckets"] if latest else {}) | {b: version for b in written}
         if not written and not latest:
             return None
+        batches = (latest.get("batches", {}) if latest else {}) | ({query_id: batch_id} if query_id else {})
         self._commit({
             "version": version, "timestamp": int(time.time() * 1000), "operation": "MERGE" if latest else "WRITE",
             "metrics": {"numOutputRows": new, "numTargetRowsInserted": new - old, "numBucketsRewritten": len(written)},
-            "partitionColumns": list(self.spec.partition_by), "schema": self.spec.schema, "queryId": query_id, "batchId": batch_id, "bucketCount": self.buckets, "buckets": held})
+            "partitionColumns": list(self.spec.partition_by), "schema": self.spec.schema, "queryId": query_id, "batchId": batch_id, "bucketCount": self.buckets, "buckets": held, "batches": batches})
         return version
 
-    def compact(self) -> int | None:
-        """Rewrite the table as one version, so that readers open one folder."""
+    def compact(self, buckets: int | None = None) -> int | None:
+        """Rewrite the table as one version, so that readers open one folder, or with another number of buckets."""
         latest = self.latest()
-        if not latest or len(set(latest["buckets"].values())) < 2:
+        if not latest or (len(set(latest["buckets"].values())) < 2 and (buckets or self.buckets) == self.buckets):
             return None
-        version = latest["version"] + 1
-        written = self._write(self.read(), version)
-        self._commit(latest | {"version": version, "timestamp": int(time.time() * 1000), "operation": "COMPACT", "metrics": {"numBucketsRewritten": len(written)}, "queryId": "", "batchId": -1, "buckets": {b: version for b in written}})
+        version, rows = latest["version"] + 1, self.read()
+        self.buckets = buckets or self.buckets
+        written = self._write(rows, version)
+        self._commit(latest | {"version": version, "timestamp": int(time.time() * 1000), "operation": "COMPACT", "metrics": {"numBucketsRewritten": len(written)}, "queryId": "", "batchId": -1, "bucketCount": self.buckets, "buckets": {b: version for b in written}})
         return version
 
     def expire(self, keep: int = 5) -> list[int]:
-        """Delete data folders that none of the latest ``keep`` versions needs."""
-        versions = self._versions()[-keep:]
+        """Delete log records but the latest ``keep``, and the data folders that none of these needs."""
+        found = self._versions()
+        versions = found[-keep:]
         needed = {at for v in versions for at in self._record(v)["buckets"].values()}
         gone = [int(f[2:]) for f in folders(self.spark, f"{self.path}/data") if f.startswith("v=") and versions and int(f[2:]) < versions[-1] and int(f[2:]) not in needed]
-        for v in gone:
-            fs, at = file_system(self.spark, f"{self.path}/data/v={v}")
+        for old in [f"data/v={v}" for v in gone] + [f"_log/{v}.json" for v in found[:-keep]]:
+            fs, at = file_system(self.spark, f"{self.path}/{old}")
             fs.delete(at, True)
         return gone

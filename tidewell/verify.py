@@ -1,4 +1,4 @@
-"""The verification report: one row a table, all counts in one lazy plan."""
+"""The verification report: one row a table, all counts in one lazy plan, and the details of each table."""
 
 from __future__ import annotations
 
@@ -51,3 +51,26 @@ def operation_breakdown(spark: SparkSession, spec: TableSpec) -> DataFrame:
 def distinct_values(table: DataFrame, column: str) -> DataFrame:
     """The sorted distinct values of a column, NULL left out."""
     return table.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column)
+
+
+def details(spark: SparkSession, spec: TableSpec, samples: int = 3, versions: int = 5) -> dict[str, DataFrame]:
+    """What a reader wants to see of a table, by name; parts whose data is not there are left out.
+
+    operations, events (some lines); columns, rows (some), the distinct values of each partition and
+    key column and history (the latest versions) of the stored table; dead_letters (some).
+    """
+    found = {}
+    if _there(spark, spec.bronze_path):
+        found["operations"] = operation_breakdown(spark, spec)
+        found["events"] = read_lines(spark, spec.bronze_path).limit(samples)
+    store = SnapshotStore(spark, spec)
+    if store.exists():
+        table = store.read()
+        found["columns"] = spark.createDataFrame([(f.name, f.dataType.simpleString(), f.nullable) for f in table.schema.fields], "name string, type string, nullable boolean")
+        found["rows"] = table.limit(samples)
+        for column in dict.fromkeys([*spec.partition_by, *(c for c, _ in spec.keys)]):
+            found[f"values of {column}"] = distinct_values(table, column)
+        found["history"] = store.history(versions)
+    if _there(spark, spec.dead_letter_path):
+        found["dead_letters"] = spark.read.option("recursiveFileLookup", "true").text(spec.dead_letter_path).limit(samples)
+    return found
