@@ -37,6 +37,7 @@ def test_nearest_are_exact():
     index = ExampleIndex(np.arange(v).astype(np.uint64), idf, ids, label, row, place, dense[row, place], (1.0, 1.0))
     weights = np.where(dense > 0, 1 + np.log(np.maximum(dense, 1)), 0) * idf
     weights /= np.maximum(np.linalg.norm(weights, axis=1, keepdims=True), 1e-300)
+    weights = weights.astype(np.float32).astype(np.float64)  # as the index holds them
     place_of = {int(x): i for i, x in enumerate(index.ids)}
     for _ in range(100):
         q = (rng.random(v) < 0.15) * rng.uniform(0.1, 3, v)

@@ -7,7 +7,8 @@ far apart its rates in the two labels are (log ratio) times the root of its exam
 is left out; a term that says nothing about the label only weighs little.
 
 Index.  Postings hold (example, weight) by term in blocks of ``BLOCK`` examples, with the largest
-weight of each block.  A query adds up the block maxima of its terms, takes blocks in falling order
+weight of each block; those of frequent terms are dense, and many texts are looked up in them at
+once, which gives their exact part of every block's bound.  A query adds up the block maxima of its terms, takes blocks in falling order
 of that bound and stops below the K-th best cosine so far, so the K nearest examples are exact;
 equal cosines are ordered by the example's place.  Texts are looked up one by one inside Arrow
 batches.  The index, its terms and the broadcast of it are as large as the texts of at most
@@ -41,6 +42,10 @@ from .common import doc_remainder, ship_package, stored
 #: At most so many labelled rows of each label are learned from.
 EXAMPLES = 2000
 STEMS, BLOCK, K = (4, 7), 64, 15
+#: Terms in more than one of DENSE examples have their postings as one number for every example.
+DENSE = 8
+#: Blocks that are scored together, and rows whose frequent terms are looked up together.
+BLOCKS_AT_ONCE, ROWS = 64, 128
 THRESHOLD = 0.3
 Calibration = tuple[np.ndarray, np.ndarray]
 _NEAR = "array<struct<doc_id:bigint,similarity:double>>"
@@ -94,17 +99,23 @@ class ExampleIndex:
         back[rank] = np.arange(len(ids))
         row = back[row]
         order = np.lexsort((row, place))
-        self.example, self.weight, place = row[order].astype(np.int32), weight[order], place[order]
+        row, weight, place = row[order].astype(np.int32), weight[order], place[order]
+        bare = np.ones(len(ids), bool)
+        bare[row] = False
+        often = np.bincount(place, minlength=len(vocabulary)) * DENSE > len(ids)
+        self.dense_of = np.where(often, np.cumsum(often) - 1, -1).astype(np.int32)
+        self.dense = np.zeros((int(often.sum()), len(ids)), np.float32)
+        self.dense[self.dense_of[place[often[place]]], row[often[place]]] = weight[often[place]]
+        self.example, self.weight, place = (x[~often[place]] for x in (row, weight, place))
         group = place * (len(ids) // BLOCK + 1) + self.example // BLOCK
         first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else np.zeros(0, np.int64)
         self.post_begin = np.r_[first, len(group)].astype(np.uint32 if len(group) < 1 << 32 else np.int64)
         self.block = self.example[first] // BLOCK
         self.block_max = np.maximum.reduceat(self.weight, first) if len(group) else np.zeros(0, np.float32)
         self.term_begin = np.searchsorted(place[first], np.arange(len(vocabulary) + 1)).astype(self.post_begin.dtype)
+        self.block_of = np.arange(len(ids)) // BLOCK
         total = self.votes_of.sum()
         self.prior = float((self.votes_of * self.label).sum() / total) if total else 0.0
-        bare = np.ones(len(ids), bool)
-        bare[self.example] = False
         w = self.votes_of[bare]
         self.bare = float(((w * self.label[bare]).sum() + self.prior) / (w.sum() + 1))
 
@@ -114,29 +125,49 @@ class ExampleIndex:
         size = np.sqrt(np.bincount(row, weight**2, minlength=rows))
         return weight / np.where(size > 0, size, 1)[row]
 
-    def nearest(self, place: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    def common(self, row: np.ndarray, place: np.ndarray, weight: np.ndarray, rows: int) -> np.ndarray:
+        """rows x examples: the part of the cosines that comes from the frequent terms."""
+        use = self.dense_of[place] >= 0
+        lines, back = np.unique(self.dense_of[place[use]], return_inverse=True)
+        asked = np.zeros((rows, len(lines)))
+        asked[row[use], back] = weight[use]
+        return asked @ self.dense[lines].astype(np.float64)
+
+    def nearest(self, place: np.ndarray, weight: np.ndarray, k: int, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(examples, cosines) of the k nearest examples with a positive cosine, best first."""
+        if common is None:
+            common = self.common(np.zeros(len(place), np.int64), place, weight, 1)[0]
+        rare = self.dense_of[place] < 0
+        place, weight = place[rare], weight[rare]
         begin, size = self.term_begin[place].astype(np.int64), (self.term_begin[place + 1] - self.term_begin[place]).astype(np.int64)
-        entry = np.repeat(begin - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
-        own = np.repeat(weight, size)
-        bound = np.bincount(self.block[entry], own * self.block_max[entry], minlength=len(self.ids) // BLOCK + 1)
+        entry = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        own, home = np.repeat(weight, size), self.block[entry]
+        firsts = np.arange(0, len(self.ids), BLOCK)
+        bound = np.maximum.reduceat(common, firsts) + np.bincount(home, own * self.block_max[entry], minlength=len(firsts))
         turn = np.argsort(-bound, kind="stable")
         turn = turn[bound[turn] > 0]
-        best, cosine, least, done, step = np.zeros(0, np.int64), np.zeros(0), 0.0, 0, 4
+        # a cosine is no less than its part from the frequent terms
+        least = np.partition(common, -k)[-k] if len(common) > k else 0.0
+        best, cosine, done = np.zeros(0, np.int64), np.zeros(0), 0
         while done < len(turn) and bound[turn[done]] >= least - 1e-9:
+            step = min(BLOCKS_AT_ONCE, int((bound[turn[done:]] >= least - 1e-9).sum()))
             chosen = np.zeros(len(bound), bool)
             chosen[turn[done : done + step]] = True
-            done, step = done + step, step * 2
-            use = np.flatnonzero(chosen[self.block[entry]])
-            a = self.post_begin[entry[use]].astype(np.int64)
-            length = self.post_begin[entry[use] + 1].astype(np.int64) - a
-            post = np.repeat(a - np.r_[0, np.cumsum(length)[:-1]], length) + np.arange(length.sum())
-            score = np.bincount(self.example[post], np.repeat(own[use], length) * self.weight[post], minlength=len(self.ids))
-            found = np.flatnonzero(score)
-            best, cosine = np.r_[best, found], np.r_[cosine, score[found]]
+            done += step
+            use = slice(None) if step == len(bound) else chosen[home]
+            at = entry[use]
+            a = self.post_begin[at].astype(np.int64)
+            length = self.post_begin[at + 1].astype(np.int64) - a
+            post = np.repeat(a - (np.cumsum(length) - length), length) + np.arange(length.sum())
+            score = np.bincount(self.example[post], np.repeat(own[use], length) * self.weight[post], minlength=len(self.ids)) + common
+            score *= chosen[self.block_of]
+            floor = max(least, np.partition(score, -k)[-k] if len(score) > k else 0.0)
+            found = np.flatnonzero((score >= floor - 1e-9) & (score > 0))
+            # equal cosines are ordered by place, whatever the last bits say
+            best, cosine = np.concatenate([best, found]), np.concatenate([cosine, np.round(score[found], 12)])
             top = np.lexsort((best, -cosine))[:k]
             best, cosine = best[top], cosine[top]
-            least = cosine[-1] if len(cosine) == k else 0.0
+            least = max(least, cosine[-1] if len(cosine) == k else 0.0)
         return best, cosine
 
     def vote(self, example: np.ndarray, cosine: np.ndarray) -> float:
@@ -164,10 +195,15 @@ class ExampleIndex:
         row, place, n = counts(*terms(data, offsets), self.vocabulary)
         weight = self.weights(row, place, n, rows)
         out: list[tuple[float, np.ndarray, np.ndarray] | None] = [None] * rows
+        first, common = 0, None
         cut = np.searchsorted(row, np.arange(rows + 1))
         for i in np.flatnonzero(np.diff(cut)).tolist():
+            if common is None or i >= first + ROWS:
+                first = i
+                mine = slice(cut[i], cut[min(rows, i + ROWS)])
+                common = self.common(row[mine] - i, place[mine], weight[mine], ROWS)
             mine = slice(cut[i], cut[i + 1])
-            example, cosine = self.nearest(place[mine], weight[mine], K + (own is not None))
+            example, cosine = self.nearest(place[mine], weight[mine], K + (own is not None), common[i - first])
             if own is not None:
                 other = self.ids[example] != own[i]
                 example, cosine = example[other][:K], cosine[other][:K]
