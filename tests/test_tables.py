@@ -119,7 +119,7 @@ def test_versions(spark, placed):
     assert store.merge(plan_batch(put, spec), "q", 0) is None  # a replay
     assert store.merge(plan_batch(lines(spark, "corrupt"), spec), "q", 1) is None
     assert store.merge(plan_batch(lines(spark, attr(2, "u3", "userStatus", b"B")), spec), "q", 2) == 1
-    assert store.latest()["metrics"]["numBucketsRewritten"] == 1 and store.latest()["metrics"]["numTargetRowsInserted"] == 0
+    assert store.latest()["metrics"] == {"numOutputRows": 1, "numTargetRowsInserted": 0, "numBucketsRewritten": 0, "numDeltas": 1}
     assert store.read().count() == 20 and store.read().filter("user_status = 'B' and pilot_id = 0").count() == 1
     assert store.read(0).filter("user_status is not null").count() == 0
     assert store.compact() == 2 and store.compact() is None and store.read().count() == 20
@@ -131,6 +131,53 @@ def test_versions(spark, placed):
     assert rows(SnapshotStore(spark, wider).read().filter("x is not null"), "uuid", "pilot_id", "x") == [("u5", 2, 7)]
 
 
+def test_a_small_batch_writes_in_proportion_to_itself(spark, placed):
+    spec = replace(placed(PILOTS), buckets=4)
+    store = SnapshotStore(spark, spec)
+    put = spark.range(20_000).select(F.format_string('{"ts_ms":1,"op":"i","after":{"id":{"value":%d},"name":{"value":"name %d"}}}', "id", "id").alias("json_str"))
+    assert store.merge(plan_batch(put, spec)) == 0
+    # old keys in every bucket, a new key, an old one deleted
+    for batch in range(3):
+        small = lines(spark, *(line(2 + batch, "u", id=i, name=f"changed {batch}") for i in range(20)), line(2, "i", id=30_000 + batch, name="new"), line(2, "d", id=100 + batch))
+        assert store.merge(plan_batch(small, spec)) == batch + 1
+        assert store.latest()["metrics"] == {"numOutputRows": 22, "numTargetRowsInserted": 1, "numBucketsRewritten": 0, "numDeltas": 4}
+    whole, deltas = (sum(x[i] for x in store.latest()["bytes"].values()) for i in (0, 1))
+    assert whole > 100_000 > 2 * deltas
+    assert store.read().count() == 20_003 and store.read().filter("name = 'changed 2'").count() == 20 and store.read().filter("name is null").count() == 3
+    assert store.read(1).filter("name = 'changed 0'").count() == 20 and store.read(0).count() == 20_000
+    # keys that the table lacks only
+    assert store.merge(plan_batch(lines(spark, line(9, "i", id=50_000, name="x")), spec)) == 4 and store.latest()["metrics"]["numTargetRowsInserted"] == 1
+    assert store.merge(plan_batch(lines(spark, line(9, "d", id=60_000)), spec)) == 5 and store.latest()["metrics"]["numOutputRows"] == 0
+    before = rows(store.read(), "*")
+    assert store.expire(1) == [] and rows(store.read(), "*") == before
+    assert store.compact() == 6 and rows(store.read(), "*") == before and store.expire(1) == [0, 1, 2, 3, 4, 5]
+
+
+@pytest.mark.parametrize("kind", ["eav", "json", "plain"])
+def test_deltas_give_the_rows_of_a_replay(spark, placed, monkeypatch, kind):
+    """Random batches, with NULL keys, prefix deletes and rewrites in between, against full merges."""
+    monkeypatch.setattr("tidewell.streaming.store.DELTA_SHARE", 1000)
+    monkeypatch.setattr("tidewell.streaming.store.DELTAS", 3)
+    pick = random.Random(kind)
+    if kind == "eav":
+        spec = USERS
+        one = lambda t: line(t, "d", key=f"u{pick.randrange(6)}", column2=None) if pick.random() < 0.2 else attr(t, f"u{pick.randrange(6)}", pick.choice(["pilotId", "other"]), bytes([0, 0, 0, t]))
+    elif kind == "json":
+        spec = build("w", JSON | {"clustering_keys": [{"name": "minute", "type": "int"}, {"name": "second", "type": "int"}], "merge_key": ["country", "minute", "second"]})
+        one = lambda t: line(t, pick.choice("iiid"), country=pick.choice(["US", "DE", "FR"]), minute=pick.choice(["1", "2", None]), second=pick.choice(["1", "2", None]), j=json.dumps({"temp": t}))
+    else:
+        spec = PILOTS
+        one = lambda t: line(t, pick.choice("iud"), id=pick.randrange(6), name=pick.choice(["a", "b", "unset"]))
+    spec = replace(placed(spec), buckets=2, event_ids="deterministic")
+    batches = [lines(spark, *(one(10 * b + i) for i in range(4 if b else 12))) for b in range(6)]
+    store = SnapshotStore(spark, spec)
+    deltas = 0
+    for batch in batches:
+        store.merge(plan_batch(batch, spec), deletes=True)
+        deltas += store.latest()["metrics"]["numDeltas"]
+    assert deltas > 4 and sorted(map(str, store.read().collect())) == sorted(map(str, replay(spark, batches, spec).select(*store.read().columns).collect()))
+
+
 def test_partition_layout_is_frozen(spark, placed):
     spec, alerts = placed(USERS), []
     SnapshotStore(spark, spec).merge(plan_batch(lines(spark, attr(1, "u", "pilotId", b"\0\0\0\1")), spec))

@@ -68,6 +68,12 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(at) if s.isDirectory())
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """The bytes of all files below ``path``."""
+    fs, at = file_system(spark, path)
+    return fs.getContentSummary(at).getLength()
+
+
 def unconfigured_topics(spark: SparkSession, base: str, topics: set[str]) -> list[str]:
     """Topic folders below ``base`` that no table reads."""
     return [t for t in folders(spark, base) if t not in topics]

@@ -1,10 +1,13 @@
-"""Versioned current-state tables on plain Parquet: copy-on-write by bucket, one log record a version.
-
-``data/v=<n>/__bucket=<b>/...`` holds the buckets that version n wrote; ``_log/<n>.json`` is written
-last and says which version holds each bucket, so half-written versions are invisible and a batch
-rewrites only the buckets that its keys fall into.  The record also holds the last batch of every
-query, so the newest record alone tells whether a batch is committed.  Rows are dealt to buckets by the leading keys
-that every tombstone has, so a delete of a prefix stays within one bucket.  One writer a table.
+"""Versioned current-state tables on plain Parquet: buckets with deltas, one log record a version.
+
+``data/v=<n>/__bucket=<b>/...`` holds what version n wrote of a bucket: all its rows, or a delta with
+the rows, old and new, of every key that the batch may have changed.  A reader takes a key's rows
+from the newest delta that has the key, else from the bucket.  A batch rewrites a bucket only when its
+deltas have grown to ``DELTA_SHARE`` of its bytes or to ``DELTAS``, so what a batch writes is in proportion to
+the batch.  ``_log/<n>.json`` is written last and says which versions hold each bucket, so half-written
+versions are invisible.  The record also holds the last batch of every query, so the newest record alone
+tells whether a batch is committed.  Rows are dealt to buckets by the leading keys that every tombstone
+has, so a delete of a prefix stays within one bucket.  One writer a table.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import time
 from collections import defaultdict
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +25,22 @@ from ..alerts import AlertSink, log_sink, partition_change
 from ..config import EavSpec, TableSpec
 from ..operators.envelope import MUTATION, TOMBSTONE
 from ..plans.batch import BatchPlan, empty_table
-from ..sources.bronze import file_system, folders, read_file
+from ..sources.bronze import file_system, folder_bytes, folders, read_file
+
+_LOG = "version bigint, timestamp bigint, operation string, metrics map<string,bigint>, partitionColumns array<string>, schema string, queryId string, batchId bigint, bucketCount int, buckets map<string,bigint>, deltas map<string,array<bigint>>, batches map<string,bigint>"
+#: A bucket is rewritten once its deltas have this share of its bytes, or are so many.
+DELTA_SHARE, DELTAS = 0.5, 16
 
-_LOG = "version bigint, timestamp bigint, operation string, metrics map<string,bigint>, partitionColumns array<string>, schema string, queryId string, batchId bigint, bucketCount int, buckets map<string,bigint>, batches map<string,bigint>"
+
+def _observed(seen: Observation) -> int:
+    """The rows counted.  A part of a plan that turns out to be empty is left out of it; its observation
+    is then an empty row, which ``get`` takes for an error."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError as error:
+        if "AssertionError" not in str(error.java_exception):
+            raise
+        return 0
 
 
 class SnapshotStore:
@@ -70,30 +87,70 @@ class SnapshotStore:
             self.alert(partition_change(self.spec.name, stored, wanted))
             raise ValueError(f"{self.spec.name}: the table is partitioned by {stored}, the configuration says {wanted}")
 
+    def _frame(self, schema: str, version: int, buckets: list[int]) -> DataFrame:
+        base = f"{self.path}/data/v={version}"
+        files = self.spark.read.schema(f"{schema}, `__bucket` int").option("basePath", base)
+        return files.parquet(*(f"{base}/__bucket={b}" for b in sorted(buckets))).drop("__bucket")
+
+    def _frames(self, record: dict, held: dict[int, list[int]], numbered: bool = False) -> DataFrame | None:
+        """The files of {version: its buckets} as one frame, with the version if ``numbered``."""
+        parts = [self._frame(record["schema"], at, mine) for at, mine in sorted(held.items())]
+        if numbered:
+            parts = [part.withColumn("__version", F.lit(at)) for part, at in zip(parts, sorted(held), strict=True)]
+        return reduce(DataFrame.unionByName, parts) if parts else None
+
     def read(self, version: int | None = None, buckets: set[int] | None = None) -> DataFrame:
         """The table as of a version (the latest by default), or only some of its buckets."""
         record = self.latest() if version is None else self._record(version)
-        held: dict[int, list[int]] = defaultdict(list)
+        plain, covered, deltas = defaultdict(list), defaultdict(list), defaultdict(list)
         for bucket, at in (record["buckets"] if record else {}).items():
             if buckets is None or int(bucket) in buckets:
-                held[at].append(int(bucket))
-        columns = [f.name for f in empty_table(self.spark, self.spec).schema.fields]
-        parts = []
-        for at, mine in sorted(held.items()):
-            base = f"{self.path}/data/v={at}"
-            frame = self.spark.read.schema(f"{record['schema']}, `__bucket` int").option("basePath", base).parquet(*(f"{base}/__bucket={b}" for b in sorted(mine)))
-            parts.append(frame.drop("__bucket"))
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts) if parts else empty_table(self.spark, self.spec).select(*columns)
+                newer = record.get("deltas", {}).get(bucket, [])
+                (covered if newer else plain)[at].append(int(bucket))
+                for delta in newer:
+                    deltas[delta].append(int(bucket))
+        parts = [self._frames(record, plain)] if plain else []
+        if deltas:
+            names = [c for c, _ in self.spec.keys]
+            changes = self._frames(record, deltas, numbered=True)
+            newest = changes.groupBy(*names).agg(F.max("__version").alias("__newest"))
+            newest = newest.select(*(F.col(c).alias(f"__k_{c}") for c in names), "__newest")
+            same = self._same(names)
+            latest = changes.join(newest, [*same, F.col("__version") == F.col("__newest")], "left_semi").drop("__version")
+            parts += [self._frames(record, covered).join(newest, same, "left_anti"), latest]
+        return reduce(DataFrame.unionByName, parts) if parts else empty_table(self.spark, self.spec)
+
+    @staticmethod
+    def _same(names: list[str]) -> list[Column]:
+        """Equality with the columns __k_x; NULLs are equal, as rows of one key must stay together."""
+        return [F.col(c).eqNullSafe(F.col(f"__k_{c}")) for c in names]
+
+    def _affected(self, table: DataFrame, live: DataFrame, deletes: bool) -> DataFrame:
+        """The rows of ``table`` whose key has an event, or whose prefix may have a tombstone."""
+        whole, lead = [c for c, _ in self.spec.keys], list(self.spec.delete_keys)
+
+        def having(events: DataFrame, names: list[str]) -> DataFrame:
+            columns = [F.col("entity_key" if isinstance(self.spec, EavSpec) else c).alias(f"__k_{c}") for c in names]
+            return events.select(*columns).distinct()
+
+        if set(whole) == set(lead):
+            return table.join(having(live, whole), self._same(whole), "left_semi")
+        mutations = having(live.filter(F.col("route") == MUTATION), whole)
+        if not deletes:
+            return table.join(mutations, self._same(whole), "left_semi")
+        stones = having(live.filter(F.col("route") == TOMBSTONE), lead)
+        rest = table.join(stones, self._same(lead), "left_anti").join(mutations, self._same(whole), "left_semi")
+        return table.join(stones, self._same(lead), "left_semi").unionByName(rest)
 
     def _bucket(self, *keys: Column) -> Column:
         return F.pmod(F.xxhash64(*keys), F.lit(self.buckets)).cast("int")
 
-    def _write(self, table: DataFrame, version: int) -> list[str]:
-        """Write the rows of a version; the names of the buckets that have rows."""
+    def _write(self, table: DataFrame, version: int) -> dict[str, int]:
+        """Write the rows of a version; the bytes of the buckets that have rows."""
         base = f"{self.path}/data/v={version}"
         dealt = table.withColumn("__bucket", self._bucket(*(F.col(c) for c in self.spec.delete_keys)))
         dealt.hint("rebalance", "__bucket", *self.spec.partition_by).write.mode("overwrite").option("compression", "snappy").partitionBy("__bucket", *self.spec.partition_by).parquet(base)
-        return [f.split("=", 1)[1] for f in folders(self.spark, base) if f.startswith("__bucket=")]
+        return {f.split("=", 1)[1]: folder_bytes(self.spark, f"{base}/{f}") for f in folders(self.spark, base) if f.startswith("__bucket=")}
 
     def _commit(self, record: dict) -> None:
         fs, folder = file_system(self.spark, f"{self.path}/_log")
@@ -125,40 +182,57 @@ class SnapshotStore:
         if not touched:
             return None
         before, after = Observation(), Observation()
-        known = bool(latest) and bool(touched & {int(b) for b in latest["buckets"]})
-        target = self.read(buckets=touched)
+        held = dict(latest["buckets"]) if latest else {}
+        known = bool(touched & {int(b) for b in held})
+        light = {b for b in touched if latest and self._takes_delta(latest, str(b))}
+        target = self.read(buckets=touched - light)
+        if light:
+            some = self._affected(self.read(buckets=light), live, deletes)
+            target = some if light == touched else target.unionByName(some, allowMissingColumns=True)
         if known:  # an empty relation would be optimised away together with its observation
             target = target.observe(before, F.count(F.lit(1)).alias("rows"))
         version = latest["version"] + 1 if latest else 0
         changed = plan.apply(target, deletes).observe(after, F.count(F.lit(1)).alias("rows"))
         written = self._write(changed, version)
-        old, new = (before.get["rows"] if known else 0), after.get["rows"]
-        held = (latest["buckets"] if latest else {}) | {b: version for b in written}
+        old, new = (_observed(before) if known else 0), _observed(after)
+        newer, sizes = (dict(latest.get(f, {})) if latest else {} for f in ("deltas", "bytes"))
+        for bucket, size in written.items():
+            if int(bucket) in light:
+                newer[bucket], sizes[bucket] = [*newer.get(bucket, []), version], [sizes[bucket][0], sizes[bucket][1] + size]
+            else:
+                newer.pop(bucket, None)
+                held[bucket], sizes[bucket] = version, [size, 0]
         if not written and not latest:
             return None
         batches = (latest.get("batches", {}) if latest else {}) | ({query_id: batch_id} if query_id else {})
         self._commit({
             "version": version, "timestamp": int(time.time() * 1000), "operation": "MERGE" if latest else "WRITE",
-            "metrics": {"numOutputRows": new, "numTargetRowsInserted": new - old, "numBucketsRewritten": len(written)},
-            "partitionColumns": list(self.spec.partition_by), "schema": self.spec.schema, "queryId": query_id, "batchId": batch_id, "bucketCount": self.buckets, "buckets": held, "batches": batches})
+            "metrics": {"numOutputRows": new, "numTargetRowsInserted": new - old, "numBucketsRewritten": sum(int(b) not in light for b in written), "numDeltas": sum(int(b) in light for b in written)},
+            "partitionColumns": list(self.spec.partition_by), "schema": self.spec.schema, "queryId": query_id, "batchId": batch_id, "bucketCount": self.buckets, "buckets": held, "deltas": newer, "bytes": sizes, "batches": batches})
         return version
 
+    def _takes_delta(self, record: dict, bucket: str) -> bool:
+        """Whether a batch may add a delta to the bucket, rather than rewrite it."""
+        whole, deltas = record.get("bytes", {}).get(bucket, (0, 0))
+        return deltas < DELTA_SHARE * whole and len(record.get("deltas", {}).get(bucket, [])) < DELTAS
+
     def compact(self, buckets: int | None = None) -> int | None:
         """Rewrite the table as one version, so that readers open one folder, or with another number of buckets."""
         latest = self.latest()
-        if not latest or (len(set(latest["buckets"].values())) < 2 and (buckets or self.buckets) == self.buckets):
+        if not latest or (len(set(latest["buckets"].values())) < 2 and not latest.get("deltas") and (buckets or self.buckets) == self.buckets):
             return None
         version, rows = latest["version"] + 1, self.read()
         self.buckets = buckets or self.buckets
         written = self._write(rows, version)
-        self._commit(latest | {"version": version, "timestamp": int(time.time() * 1000), "operation": "COMPACT", "metrics": {"numBucketsRewritten": len(written)}, "queryId": "", "batchId": -1, "bucketCount": self.buckets, "buckets": {b: version for b in written}})
+        self._commit(latest | {"version": version, "timestamp": int(time.time() * 1000), "operation": "COMPACT", "metrics": {"numBucketsRewritten": len(written)}, "queryId": "", "batchId": -1, "bucketCount": self.buckets, "buckets": {b: version for b in written}, "deltas": {}, "bytes": {b: [size, 0] for b, size in written.items()}})
         return version
 
     def expire(self, keep: int = 5) -> list[int]:
         """Delete log records but the latest ``keep``, and the data folders that none of these needs."""
         found = self._versions()
         versions = found[-keep:]
-        needed = {at for v in versions for at in self._record(v)["buckets"].values()}
+        kept = [self._record(v) for v in versions]
+        needed = {at for r in kept for at in [*r["buckets"].values(), *(d for ds in r.get("deltas", {}).values() for d in ds)]}
         gone = [int(f[2:]) for f in folders(self.spark, f"{self.path}/data") if f.startswith("v=") and versions and int(f[2:]) < versions[-1] and int(f[2:]) not in needed]
         for old in [f"data/v={v}" for v in gone] + [f"_log/{v}.json" for v in found[:-keep]]:
             fs, at = file_system(self.spark, f"{self.path}/{old}")
