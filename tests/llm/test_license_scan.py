@@ -1,6 +1,7 @@
+import random
 import re
 
-from tidewell.llm.license_scan import BASE_PHRASES, TEMPLATES, license_scan
+from tidewell.llm.license_scan import BASE_PHRASES, DRIFT, MIN_COVER, TEMPLATES, license_scan
 
 
 def words(text):
@@ -57,3 +58,44 @@ def test_whole_table(spark):
     rows = license_scan(docs).collect()
     assert {r.doc_id: base(r) for r in rows} == want
     assert all(set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1 for r in rows)
+
+
+def brute_spans(text, template):
+    """Shares of the template's 3-word runs in each span of neighbouring diagonals."""
+    w, t = words(text), words(template)
+    diagonals = {}
+    for p in range(len(w) - 2):
+        for q in range(len(t) - 2):
+            if w[p : p + 3] == t[q : q + 3]:
+                diagonals.setdefault(p - q, []).append((p, q))
+    spans, last = [], None
+    for d, hits in sorted(diagonals.items()):
+        start, stop = min(p for p, _ in hits), max(p for p, _ in hits)
+        if last is None or d - last[0] > DRIFT or start > last[1] + len(t) - 2 + DRIFT:
+            spans.append(set())
+        spans[-1] |= {q for _, q in hits}
+        last = d, stop
+    return [len(s) / (len(t) - 2) for s in spans]
+
+
+def brute_labels(text):
+    found = {(label, 1.0) for label in brute(text)[4].split(",") if label}
+    for label, template in TEMPLATES.items():
+        found |= {(label, share) for share in brute_spans(text, template) if share >= MIN_COVER}
+    return ",".join(sorted({label for label, _ in found})), max((share for _, share in found), default=0.0)
+
+
+def test_labels_and_scores_of_edited_templates(documents):
+    pick, texts = random.Random(3), {}
+    for i in range(200):
+        parts = []
+        for _ in range(pick.randrange(1, 3)):
+            w = words(pick.choice(list(TEMPLATES.values())))
+            for _ in range(pick.randrange(1, 4)):
+                at = pick.randrange(len(w))
+                w[at : at + pick.randrange(3)] = ["extra"] * pick.randrange(3)
+            parts += ["filler"] * pick.randrange(30) + w + pick.choice([[], [], [], ["cc", "by", "nc"], ["under", "the", "mit", "license"]])
+        texts[i] = " ".join(parts)
+    rows = {r.doc_id: r for r in license_scan(documents(list(texts.items()))).collect()}
+    assert {i: (r.labels, round(r.score, 9)) for i, r in rows.items()} == {i: (brute_labels(t)[0], round(brute_labels(t)[1], 9)) for i, t in texts.items()}
+    assert 20 < sum(0 < r.score < 1 for r in rows.values()) and {base(r) for r in rows.values()} == {brute(t) for t in texts.values()}

@@ -11,7 +11,8 @@ Predicting: each text's masks give per-language popcounts; with the filter's kno
 positives the count of n n-grams is corrected to (hits - f n) / (1 - f).  The language with the
 largest corrected count wins and its share of the sum is the score.
 
-N-grams are taken over lower-cased UTF-8 bytes with every run of other ASCII bytes as one blank.
+N-grams are taken over lower-cased UTF-8 bytes with every run of other ASCII bytes as one blank, and one
+blank before the text.
 Edge cases: ``und`` with score 0 for a null text or one without a letter; a text with letters but
 no known n-gram gets the most frequent language with score 0; ties go to the language that sorts
 first; rows with a null lang or doc_id are not learned from.  If there is nothing to learn from,
@@ -46,7 +47,7 @@ _LETTERS[0x30:0x3A] = True
 
 
 def ngrams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(n-gram as a number, row) of all n-grams; a blank stands before and after every word."""
+    """(n-gram as a number, row) of all n-grams; a blank stands before every word."""
     rows = len(offsets) - 1
     # one separator byte in front of each row, so that rows never touch
     spread = np.zeros(len(data) + rows + 1, np.uint8)
