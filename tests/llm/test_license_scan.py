@@ -61,7 +61,7 @@ def test_whole_table(spark):
 
 
 def brute_spans(text, template):
-    """Shares of the template's 3-word runs in each span of neighbouring diagonals."""
+    """(start, stop, runs, share) of each span of neighbouring diagonals."""
     w, t = words(text), words(template)
     diagonals = {}
     for p in range(len(w) - 2):
@@ -72,19 +72,31 @@ def brute_spans(text, template):
     for d, hits in sorted(diagonals.items()):
         start, stop = min(p for p, _ in hits), max(p for p, _ in hits)
         if last is None or d - last[0] > DRIFT or start > last[1] + len(t) - 2 + DRIFT:
-            spans.append(set())
-        spans[-1] |= {q for _, q in hits}
+            spans.append([])
+        spans[-1] += hits
         last = d, stop
-    return [len(s) / (len(t) - 2) for s in spans]
+    return [(min(p for p, _ in s), max(p for p, _ in s), len({q for _, q in s}), len({q for _, q in s}) / (len(t) - 2)) for s in spans]
 
 
 def brute_labels(text):
     found = {(label, 1.0) for label in brute(text)[4].split(",") if label}
-    for label, template in TEMPLATES.items():
-        found |= {(label, share) for share in brute_spans(text, template) if share >= MIN_COVER}
+    spans = sorted((*span, label) for label, template in TEMPLATES.items() for span in brute_spans(text, template) if span[3] >= MIN_COVER)
+    while spans:
+        place, stop = [], spans[0][1]
+        while spans and spans[0][0] <= stop:
+            place.append(spans.pop(0))
+            stop = max(stop, place[-1][1])
+        best = max((share, n) for _, _, n, share, _ in place)
+        found |= {(label, share) for _, _, n, share, label in place if (share, n) == best}
     return ",".join(sorted({label for label, _ in found})), max((share for _, share in found), default=0.0)
 
 
+def test_each_template_gets_its_own_label_only(documents):
+    rows = license_scan(documents([(i, f"a {t} b") for i, t in enumerate(TEMPLATES.values())])).collect()
+    method = {r.doc_id: set(r.labels.split(",")) - set(r.base_labels.split(",")) or set(r.labels.split(",")) for r in rows}
+    assert method == {i: {label} for i, label in enumerate(TEMPLATES)}
+
+
 def test_labels_and_scores_of_edited_templates(documents):
     pick, texts = random.Random(3), {}
     for i in range(200):

@@ -2,12 +2,15 @@
 
 1. Every text is cut into words and the hash of each run of ``K`` words is joined with the table
    of all K-word runs of the license templates (a fixed list, so the table is small by design).
+   A hit counts only if the words themselves agree.
 2. A hit at word p of the text and word q of a template votes for the diagonal p - q.  Votes are
    counted by text, template and diagonal; neighbouring diagonals (up to ``DRIFT`` words inserted
    or left out) whose spans overlap or touch merge into one span.
 3. A span is verified against its template: the distinct runs of the template that it holds must
    cover ``MIN_COVER`` of the template.  Base phrases need every run, on one diagonal, which is
-   the whole phrase word by word (runs are told apart by 64-bit hashes).
+   the whole phrase word by word.
+4. Licenses share sentences, so of spans that overlap in a text the one with the largest share
+   stays, then the one with the most runs (all of them if they tie).
 
 Words are runs of digits, ASCII letters and non-ASCII characters after lower-casing A-Z; null
 counts as empty.  A text without a match has n_base 0, null first_word and last_word, empty labels
@@ -40,6 +43,18 @@ TEMPLATES = {
     "gpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
     "mpl-2": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file",
     "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License",
+    "cc-by-sa": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "cc-by-nc": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "cc-by-nd": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License",
+    "cc-by-nc-sa": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License",
+    "cc-by-nc-nd": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License",
+    "lgpl": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
+    "agpl": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software",
+    "boost": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+    "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
+    "epl-2": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
 }
 _BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -49,10 +64,15 @@ def words_of(text: Column) -> Column:
 
 
 def _runs(words: Column) -> Column:
-    """The hash of K words from each position."""
+    """The hash of K words from each position, and the words."""
     last = F.size(words) - K
     starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(*(F.get(words, i + j) for j in range(K))))
+
+    def run(i: Column) -> Column:
+        gram = [F.get(words, i + j) for j in range(K)]
+        return F.struct(F.xxhash64(*gram).alias("run"), *(w.alias(f"w{j}") for j, w in enumerate(gram)))
+
+    return F.transform(starts, run)
 
 
 def template_table(spark: SparkSession) -> DataFrame:
@@ -66,9 +86,10 @@ def template_table(spark: SparkSession) -> DataFrame:
 
 def _votes(texts: DataFrame, templates: DataFrame) -> DataFrame:
     """doc_id, key, template, ... , p, q: every text position that meets a template position."""
-    places = templates.select("template", "label", "base", "n_runs", F.posexplode(_runs(F.col("words"))).alias("q", "run"))
-    runs = texts.select("doc_id", "key", F.posexplode(_runs(F.col("words"))).alias("p", "run"))
-    return runs.join(F.broadcast(places), "run").drop("run")
+    places = templates.select("template", "label", "base", "n_runs", F.posexplode(_runs(F.col("words"))).alias("q", "at")).select("*", "at.*").drop("at")
+    runs = texts.select("doc_id", "key", F.posexplode(_runs(F.col("words"))).alias("p", "at")).select("doc_id", "key", "p", "at.*")
+    gram = ["run", *(f"w{j}" for j in range(K))]
+    return runs.join(F.broadcast(places), gram).drop(*gram)
 
 
 def _spans(votes: DataFrame) -> DataFrame:
@@ -83,9 +104,18 @@ def _spans(votes: DataFrame) -> DataFrame:
     fresh = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(by) > DRIFT), F.lit(True)) | (F.col("start") > F.lag("stop").over(by) + F.col("n_runs") + DRIFT)
     numbered = diagonals.filter(~F.col("base")).withColumn("fresh", fresh.cast("int")).withColumn("span", F.sum("fresh").over(by))
     merged = numbered.groupBy("doc_id", "key", "template", "label", "base", "n_runs", "span").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("found"), F.min("start").alias("start"))
-    close = merged.withColumn("share", F.col("found") / F.col("n_runs")).filter(F.col("share") >= MIN_COVER).select("doc_id", "key", "label", "base", "start", "share")
-    return exact.unionByName(close)
+        F.size(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("found"), F.min("start").alias("start"), F.max("stop").alias("stop"))
+    close = merged.withColumn("share", F.col("found") / F.col("n_runs")).filter(F.col("share") >= MIN_COVER)
+    return exact.unionByName(_best(close).select("doc_id", "key", "label", "base", "start", "share"))
+
+
+def _best(close: DataFrame) -> DataFrame:
+    """Of spans of a text that overlap, those with the largest share, then the most runs."""
+    along = Window.partitionBy("doc_id", "key").orderBy("start", "stop", "template")
+    apart = F.coalesce(F.col("start") > F.max("stop").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    placed = close.withColumn("apart", apart.cast("int")).withColumn("place", F.sum("apart").over(along))
+    by_place = Window.partitionBy("doc_id", "key", "place").orderBy(F.desc("share"), F.desc("found"))
+    return placed.withColumn("order", F.rank().over(by_place)).filter("order = 1")
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
