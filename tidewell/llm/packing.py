@@ -8,8 +8,8 @@
    patterns first.  All of this handles runs of equal sequences, never single documents.
 3. The plan is a table of runs (length, ranks from, how many, sequence from, offset).  Pieces are
    ranked within their length in two steps - within (length, salt) by a window, between salts by
-   prefix sums - so that a length held by a third of all pieces is spread over many tasks, and
-   each piece finds its run by length and rank.
+   prefix sums - with a salt for every RANK_ROWS pieces of a length, so that a length held by a
+   third of all pieces is spread over many tasks, and each piece finds its run by length and rank.
 
 Edge cases: null and empty texts are one piece holding just the end id; repeated rows and rows with
 a null doc_id are packed like any others, each on its own; an empty table gives an empty result; other columns are ignored.
@@ -36,8 +36,8 @@ VOCABULARY = "word_bpe_49k.json"
 CAPACITY, END_ID = 4096, 1
 #: A pattern holds at most so many documents; lengths are rounded up to CAPACITY / CLASSES.
 PATTERN_DOCS, CLASSES = 4, 64
-#: Pieces in one (length, salt) window, if all had the same length.
-RANK_ROWS = 100_000
+#: Pieces in one (length, salt) window, on average.
+RANK_ROWS = 1000
 
 Run = tuple[tuple[int, ...], int]  # the lengths in one sequence, and how many such sequences
 
@@ -221,13 +221,14 @@ def _layout(runs: list[Run]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarr
     return {k: tuple(np.array(v, np.int64).T) for k, v in rows.items()}
 
 
-def _ranked(cut: DataFrame, total: int) -> DataFrame:
+def _ranked(cut: DataFrame, histogram: dict[int, int]) -> DataFrame:
     """``cut`` with rank: a number from 0 within the pieces of each length."""
-    salts = max(1, -(-total // RANK_ROWS))
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    # one row for each length, so at most as many as a sequence has tokens
+    salts = cut.sparkSession.createDataFrame([(x, -(-n // RANK_ROWS)) for x, n in histogram.items()], "length long, salts long")
+    salted = cut.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "salts")).drop("salts")
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     base = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece")
+    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
     return salted.withColumn("nth", F.row_number().over(within) - 1).join(base, ["length", "salt"]).withColumn("rank", F.col("base") + F.col("nth"))
 
 
@@ -252,5 +253,5 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY
             keep = ["doc_id", "piece", "start", "length", "ids_crc32"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(sequence), pa.array(offset)], [*keep, "sequence_id", "offset"])
 
-    ranked = _ranked(cut, sum(histogram.values())).select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
+    ranked = _ranked(cut, histogram).select("doc_id", "piece", "start", "length", "ids_crc32", "rank")
     return ranked.mapInArrow(place, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
