@@ -93,29 +93,28 @@ def _votes(texts: DataFrame, templates: DataFrame) -> DataFrame:
 
 
 def _spans(votes: DataFrame) -> DataFrame:
-    """Merged and verified spans: doc_id, key, template, label, base, start, stop, share."""
+    """Merged and verified spans: doc_id, key, label, base, start, share."""
     diagonals = (
         votes.groupBy("doc_id", "key", "template", "label", "base", "n_runs", (F.col("p") - F.col("q")).alias("diagonal"))
         .agg(F.collect_set("q").alias("qs"), F.min("p").alias("start"), F.max("p").alias("stop"))
     )
-    exact = diagonals.filter(F.col("base") & (F.size("qs") == F.col("n_runs"))).select(
-        "doc_id", "key", "label", "base", F.col("diagonal").alias("start"), F.lit(1.0).alias("share"))
     by = Window.partitionBy("doc_id", "key", "template").orderBy("diagonal", "start")
     fresh = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(by) > DRIFT), F.lit(True)) | (F.col("start") > F.lag("stop").over(by) + F.col("n_runs") + DRIFT)
-    numbered = diagonals.filter(~F.col("base")).withColumn("fresh", fresh.cast("int")).withColumn("span", F.sum("fresh").over(by))
+    # a phrase stands on one diagonal, so each of its diagonals is a span
+    numbered = diagonals.withColumn("fresh", (F.col("base") | fresh).cast("int")).withColumn("span", F.sum("fresh").over(by))
     merged = numbered.groupBy("doc_id", "key", "template", "label", "base", "n_runs", "span").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("found"), F.min("start").alias("start"), F.max("stop").alias("stop"))
-    close = merged.withColumn("share", F.col("found") / F.col("n_runs")).filter(F.col("share") >= MIN_COVER)
-    return exact.unionByName(_best(close).select("doc_id", "key", "label", "base", "start", "share"))
+    close = merged.withColumn("share", F.col("found") / F.col("n_runs")).filter(F.col("share") >= F.when(F.col("base"), 1.0).otherwise(MIN_COVER))
+    return _best(close).select("doc_id", "key", "label", "base", "start", "share")
 
 
 def _best(close: DataFrame) -> DataFrame:
-    """Of spans of a text that overlap, those with the largest share, then the most runs."""
-    along = Window.partitionBy("doc_id", "key").orderBy("start", "stop", "template")
+    """All base spans, and of others that overlap in a text those with the largest share, then the most runs."""
+    along = Window.partitionBy("doc_id", "key", "base").orderBy("start", "stop", "template")
     apart = F.coalesce(F.col("start") > F.max("stop").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
     placed = close.withColumn("apart", apart.cast("int")).withColumn("place", F.sum("apart").over(along))
-    by_place = Window.partitionBy("doc_id", "key", "place").orderBy(F.desc("share"), F.desc("found"))
-    return placed.withColumn("order", F.rank().over(by_place)).filter("order = 1")
+    by_place = Window.partitionBy("doc_id", "key", "base", "place").orderBy(F.desc("share"), F.desc("found"))
+    return placed.withColumn("order", F.rank().over(by_place)).filter("base or order = 1")
 
 
 def license_scan(docs: DataFrame) -> DataFrame:
