@@ -18,6 +18,7 @@ from .packing import pack
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .toxicity import toxicity
+from .whitening import whiten
 
 
 def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +64,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP7_SQL = f"""
@@ -93,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_minhash_dedup": op1_minhash_dedup, "op2_license_scan": op2_license_scan, "op3_token_counts": op3_token_counts,
         "op4_chat_format": op4_chat_format, "op5_best_fit_packing": op5_best_fit_packing, "op6_decontaminate": op6_decontaminate,
         "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id, "op9_suffix_dedup": op9_suffix_dedup, "op10_toxicity": op10_toxicity,
+        "op11_embedding_whitening": op11_embedding_whitening,
     }
 
 
