@@ -40,6 +40,13 @@ def run(documents, rows, percent=85):
     return sorted(tuple(r)[:4] for r in minhash_groups(documents(rows), percent).collect())
 
 
+def test_words_that_collide_under_polynomial_hashes(documents):
+    word = lambda n, a, b: "".join(a if i.bit_count() % 2 == 0 else b for i in range(n))
+    rows = [(i, word(n, *pair)) for i, (n, pair) in enumerate((n, p) for n in (1024, 4096) for p in ("ez", "ze"))]
+    rows += [(10 + i, f"one two {t} three four five six") for i, t in rows]
+    assert run(documents, rows) == brute(rows) and all(r[3] for r in brute(rows))
+
+
 def test_near_copies_around_the_threshold(documents):
     rng = random.Random(5)
     rows = []

@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 from tidewell.llm.bpe import vocabulary_path
 from tidewell.llm.packing import CAPACITY, nonnegative_least_squares, pack, plan
 
-TEXTS = [(1, "One small text."), (2, None), (3, ""), (4, "word " * 9000), (4, "word " * 9000), (None, "no id"), (6, "l'été, it's 12"), (7, "日本 <|endoftext|>")]
+TEXTS = [(1, "One small text."), (2, None), (3, ""), (4, "word " * 9000), (4, "word " * 9000), (None, "no id"), (6, "l'été, it's 12"), (7, "日本 <|endoftext|>"), *((10 + i, "".join(pair[j.bit_count() % 2] for j in range(n))) for i, (n, pair) in enumerate((n, p) for n in (1024, 4096) for p in ("ez", "ze"))), (20, "long text, " * 60_000)]
 
 
 def brute(rows):

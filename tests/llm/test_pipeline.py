@@ -144,13 +144,13 @@ def test_stages_work_from_another_folder_without_the_table_helper(tmp_path):
 import sys
 sys.path.append(sys.argv[1])
 from pyspark.sql import SparkSession
-spark = SparkSession.builder.master("local-cluster[1,2,1024]").config("spark.checkpoint.dir", "file://" + sys.argv[2]).config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate()
+spark = SparkSession.builder.master("local[2]").config("spark.checkpoint.dir", "file://" + sys.argv[2]).config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate()
 from tidewell.llm.langid import keep_identified
 from tidewell.llm.token_counts import token_counts
 docs = spark.createDataFrame([(1, "the cat", "en"), (2, "12", "en")], "doc_id long, text string, lang string")
 print("RESULT", keep_identified(docs).count(), token_counts(docs).count())
 """)
     root = str(Path(corpus_pipeline.__file__).parent)
-    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"SPARK_SCALA_VERSION": "2.13"}
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}  # the workers of a local master take their path from there only
     done = subprocess.run([sys.executable, str(script), root, str(tmp_path / "shared")], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
     assert "RESULT 1 2" in done.stdout, done.stderr[-3000:]

@@ -15,6 +15,18 @@ def want(library, text):
     return len((text or "").encode()), n, n > 2048
 
 
+def alternating(n, a, b):
+    """A Thue-Morse string: with its complement it collides under any polynomial hash modulo 2**64."""
+    return "".join(a if i.bit_count() % 2 == 0 else b for i in range(n))
+
+
+def test_long_words_are_told_apart_by_their_bytes(documents, library):
+    texts = [alternating(n, *pair) for n in (16, 24, 25, 1024, 2048, 4096) for pair in ("ez", "ze", "ab", "ba")]
+    texts += ["a\x00b a a\x00 a\x00\x00", " ".join("x" * n for n in (23, 24, 25, 24, 25, 26)), ("y" * 25 + " ") * 3]
+    got = {r.doc_id: r.n_tokens for r in token_counts(documents(list(enumerate(texts)))).collect()}
+    assert got == {i: want(library, t)[1] for i, t in enumerate(texts)}
+
+
 def test_odd_texts(documents, library):
     special = [t.content for t in library.get_added_tokens_decoder().values()]
     texts = [

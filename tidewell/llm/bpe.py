@@ -7,7 +7,7 @@ made by a merge always ranks behind it, so the outcome is the library's own.
 
 Texts in ASCII and Latin-1 letters are cut into pre-tokens on the byte buffer.  Any other text is
 normalised and cut by the library first and then takes the same merges.  Symbols of recent
-pre-tokens are remembered in a direct-mapped table of fixed size, keyed by a 64-bit fingerprint.
+pre-tokens up to 24 bytes are remembered in a direct-mapped table of fixed size that holds their bytes.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ import re
 
 import numpy as np
 
-from .blocks import LOWER, U64, prefix_hashes, span_hashes
+from .blocks import LOWER, U64, lane_at, lanes, mix
 
 _NONE = np.iinfo(np.int64).max
-_MEMORY_BITS, _MEMORY_WIDTH = 20, 6
+#: Slots, ids a slot holds, and lanes of eight bytes in its key; longer pre-tokens are merged each time.
+_MEMORY_BITS, _MEMORY_WIDTH, _MEMORY_LANES = 20, 6, 3
 # Byte classes of the byte path: white space, letter, digit, other; SLOW sends the row to the library.
 _SPACE, _LETTER, _DIGIT, _OTHER, _SLOW = range(5)
 _CLASS = np.full(256, _SLOW, np.uint8)
@@ -65,8 +66,8 @@ class BpeEngine:
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         parts = sorted(map(re.escape, self.added), key=len, reverse=True)
         self.added_pattern = re.compile("(" + "|".join(parts) + ")") if parts else None
-        self.held = np.zeros(1 << _MEMORY_BITS, U64)
-        self.held_n = np.zeros(1 << _MEMORY_BITS, np.int64)
+        self.held_key = np.zeros((1 << _MEMORY_BITS, _MEMORY_LANES), U64)
+        self.held_size, self.held_n = np.zeros((2, 1 << _MEMORY_BITS), np.uint8)
         self.held_ids = np.zeros((1 << _MEMORY_BITS, _MEMORY_WIDTH), np.uint16 if self.width < 1 << 16 else np.uint32)
 
     def _index(self, keys: list[int]) -> None:
@@ -181,27 +182,40 @@ class BpeEngine:
         """(ids, number of ids) of the pre-tokens raw[start:stop], in their order."""
         if not len(start):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        mark = span_hashes(prefix_hashes(raw), start, stop)
+        length, wide = stop - start, lanes(raw)
+        key = np.stack([lane_at(wide, start + 8 * j, length - 8 * j) for j in range(_MEMORY_LANES)], axis=1)
+        mark = length.astype(U64)
+        for j in range(_MEMORY_LANES):
+            mark = mix(mark * U64(0x9E3779B97F4A7C15) ^ key[:, j])
+        short = length <= 8 * _MEMORY_LANES
         slot = (mark >> U64(64 - _MEMORY_BITS)).astype(np.int64)
-        n = np.where(self.held[slot] == mark, self.held_n[slot], 0)
+        hit = short & (self.held_size[slot] == length) & (self.held_key[slot] == key).all(axis=1)
+        n = np.where(hit, self.held_n[slot], 0).astype(np.int64)
         ids = self.held_ids[slot]
-        miss = np.flatnonzero(n == 0)
+        miss = np.flatnonzero(~hit)
         spill: dict[int, np.ndarray] = {}
         if len(miss):
-            fresh, first, back = np.unique(mark[miss], return_index=True, return_inverse=True)
+            _, first, back = np.unique(mark[miss], return_index=True, return_inverse=True)
+            like = miss[first[back]]
+            # pre-tokens of one mark are one only if their bytes are
+            odd = np.flatnonzero(~short[miss] | (length[like] != length[miss]) | (key[like] != key[miss]).any(axis=1))
+            back[odd] = len(first) + np.arange(len(odd))
+            first = np.r_[first, odd]
             size = stop[miss[first]] - start[miss[first]]
             begin = np.r_[0, np.cumsum(size)]
             flat = np.repeat(start[miss[first]] - begin[:-1], size) + np.arange(begin[-1])
             made, made_n = self.merge(raw[flat], size)
             made_at = np.r_[0, np.cumsum(made_n)[:-1]]
             width = np.minimum(made_n, _MEMORY_WIDTH)
-            block = np.zeros((len(fresh), _MEMORY_WIDTH), self.held_ids.dtype)
+            block = np.zeros((len(first), _MEMORY_WIDTH), self.held_ids.dtype)
             col = np.arange(_MEMORY_WIDTH)
             filled = col < width[:, None]
             block[filled] = made[(made_at[:, None] + col)[filled]]
             fits = made_n <= _MEMORY_WIDTH
-            spot = (fresh[fits] >> U64(64 - _MEMORY_BITS)).astype(np.int64)
-            self.held[spot], self.held_n[spot], self.held_ids[spot] = fresh[fits], made_n[fits], block[fits]
+            kept = np.flatnonzero(fits & short[miss[first]])
+            kept = kept[np.unique(slot[miss[first[kept]]], return_index=True)[1]]
+            spot, whose = slot[miss[first[kept]]], miss[first[kept]]
+            self.held_key[spot], self.held_size[spot], self.held_n[spot], self.held_ids[spot] = key[whose], length[whose], made_n[kept], block[kept]
             n[miss], ids[miss] = made_n[back], block[back]
             spill = {int(i): made[made_at[j] : made_at[j] + made_n[j]] for i, j in zip(miss, back, strict=True) if not fits[j]} if not fits.all() else {}
         flat_ids = ids[np.arange(_MEMORY_WIDTH) < np.minimum(n, _MEMORY_WIDTH)[:, None]].astype(np.int64)

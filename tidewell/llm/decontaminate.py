@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import ALNUM_BREAKS, LOWER, U64, blocks, prefix_hashes, span_hashes, text_buffer, word_shingles, words
+from .blocks import ALNUM_BREAKS, LOWER, U64, blocks, byte_hashes, text_buffer, word_shingles, words
 from .common import ship_package, stored, without
 
 SIMILARITY = 0.8
@@ -48,7 +48,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     """(fingerprint, row) of the words of a block."""
     low = LOWER[data]
     start, stop, row = words(low, offsets, ALNUM_BREAKS)
-    return span_hashes(prefix_hashes(low), start, stop), row
+    return byte_hashes(low, start, stop), row
 
 
 def simhash(windows: np.ndarray) -> np.ndarray:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import LOWER, SPACE_BREAKS, U64, blocks, mix, prefix_hashes, span_hashes, text_buffer, word_shingles, words
+from .blocks import LOWER, SPACE_BREAKS, U64, blocks, byte_hashes, mix, text_buffer, word_shingles, words
 from .common import discard, maybe_in, ship_package, stored, without
 from .components import connected_components
 
@@ -79,7 +79,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     """(distinct shingles, ordered by row and value; row of each)."""
     low = LOWER[data]
     start, stop, row = words(low, offsets, SPACE_BREAKS)
-    value, owner, _ = word_shingles(span_hashes(prefix_hashes(low), start, stop), row)
+    value, owner, _ = word_shingles(byte_hashes(low, start, stop), row)
     if not len(value):
         return value, owner
     cut = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True])
