@@ -154,7 +154,7 @@ def word_shingles(word: np.ndarray, row: np.ndarray, k: int = 5, short: bool = T
     at = np.flatnonzero(row[: max(0, n - k + 1)] == row[k - 1 :]) if n >= k else np.zeros(0, np.int64)
     acc = np.zeros(len(at), dtype=U64)
     for j in range(k):
-        acc += mix(word[at + j] + _STEPS[j % 5] * U64(j // 5 + 1)) * _STEPS[(j + 1) % 5]
+        acc += mix(word[at + j] + U64(int(_STEPS[j % 5]) * (j // 5 + 1) % (1 << 64))) * _STEPS[(j + 1) % 5]
     value, owner = mix(acc), row[at]
     if short:
         heads = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])

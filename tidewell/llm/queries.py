@@ -15,6 +15,8 @@ from .langid import language_id
 from .license_scan import license_scan
 from .minhash import minhash_groups
 from .packing import pack
+from .quality import quality_rules
+from .spelling import spelling_variants
 from .suffix_dedup import remove_repeats
 from .token_counts import token_counts
 from .toxicity import toxicity
@@ -68,6 +70,14 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(table(spark, sf_dir, "documents")).drop("failed")
+
+
 _AZ = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP7_SQL = f"""
@@ -93,14 +103,40 @@ SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(learned) AS loss_
 """
 
 
+_WORD = r"[^\x20\x09-\x0D]"
+
+OP13_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM (SELECT rid, regexp_extract_all(t, '{_WORD}+') AS ws FROM d)),
+k AS (SELECT *, lead(w, 7) OVER x IS NOT NULL AS whole,
+    concat_ws(' ', w, lead(w, 1) OVER x, lead(w, 2) OVER x, lead(w, 3) OVER x, lead(w, 4) OVER x, lead(w, 5) OVER x, lead(w, 6) OVER x, lead(w, 7) OVER x) AS k
+  FROM w WINDOW x AS (PARTITION BY rid ORDER BY p)),
+a AS (SELECT rid, p, w, whole AND count(*) OVER (PARTITION BY rid, k) > 1 AS twice FROM k),
+c AS (SELECT rid, w, max(twice::INT) OVER (PARTITION BY rid ORDER BY p ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS again FROM a),
+n AS (SELECT rid, count(*) AS n_words, sum(length(w)) AS word_chars, sum(again) AS n_repeat_words, count_if(regexp_matches(w, '[A-Za-z]|[^\x00-\x7F]')) AS lettered FROM c GROUP BY rid),
+f AS (SELECT rid, max(m) AS most FROM (SELECT rid, w, count(*) AS m FROM w GROUP BY ALL) GROUP BY rid),
+l AS (SELECT rid, count(*) AS n_lines, count(*) - count(DISTINCT l) AS n_dup_lines, count_if(l[1] IN ('-', '*')) AS dashed, count_if(suffix(l, '...')) AS opened
+  FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '{_WORD}') GROUP BY rid),
+s AS (SELECT rid, doc_id, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper,
+    length(regexp_replace(t, '[^A-Za-z]', '', 'g')) AS letters, length(regexp_replace(t, '[^\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]', '', 'g')) AS marks FROM d),
+m AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+    coalesce(n_words, 0) < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, lettered, most, n_lines, dashed, opened, upper, letters, marks
+  FROM s LEFT JOIN n USING (rid) LEFT JOIN f USING (rid) LEFT JOIN l USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 100 * n_symbols > 20 * n_words OR 100 * n_dup_lines > 30 * n_lines OR 100 * lettered < 70 * n_words
+    OR 100 * upper > 60 * letters OR 100 * marks > 30 * word_chars OR 100 * most > 30 * n_words OR 100 * dashed > 90 * n_lines OR 100 * opened > 30 * n_lines) AS kept
+FROM m
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_minhash_dedup": op1_minhash_dedup, "op2_license_scan": op2_license_scan, "op3_token_counts": op3_token_counts,
         "op4_chat_format": op4_chat_format, "op5_best_fit_packing": op5_best_fit_packing, "op6_decontaminate": op6_decontaminate,
         "op7_exact_dedup": op7_exact_dedup, "op8_language_id": op8_language_id, "op9_suffix_dedup": op9_suffix_dedup, "op10_toxicity": op10_toxicity,
-        "op11_embedding_whitening": op11_embedding_whitening,
+        "op11_embedding_whitening": op11_embedding_whitening, "op12_spelling_variants": op12_spelling_variants, "op13_quality_rules": op13_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_chat_format": OP4_SQL, "op7_exact_dedup": OP7_SQL}
+    return {"op4_chat_format": OP4_SQL, "op7_exact_dedup": OP7_SQL, "op13_quality_rules": OP13_SQL}
