@@ -48,3 +48,23 @@ def test_all_errors_come_at_once(tmp_path):
         load_config(str(tmp_path / "bad.yml"))
     (tmp_path / "good.yml").write_text(yaml.safe_dump({"tables": {"a": EAV}}))
     assert load_config(str(tmp_path / "good.yml"))["a"].name == "a"
+
+
+MODES = [
+    ({"ordering": "typo"}, "ordering"), ({"guard": "typo"}, "guard"), ({"null_policy": "precense"}, "null_policy"), ({"event_ids": None}, "event_ids"), ({"enabled": "false"}, "enabled"), ({"enabled": 1}, "enabled"),
+    ({"delete_ops": "d"}, "delete_ops"), ({"delete_ops": []}, "delete_ops"), ({"retries": -1}, "retries"), ({"retries": "3"}, "retries"), ({"buckets": 0}, "buckets"), ({"file_rows": True}, "file_rows"),
+    ({"renames": ["a"]}, "renames"), ({"renames": {"a": "c", "b": "c"}}, "renames"), ({"trigger": 30}, "trigger"), ({"kafka_servers": ""}, "kafka_servers"),
+]
+
+
+@pytest.mark.parametrize("base", [EAV, JSON, PLAIN])
+@pytest.mark.parametrize("change, says", MODES)
+def test_modes_are_checked(base, change, says):
+    with pytest.raises(ValueError, match=says):
+        parse_config({"tables": {"t": base | change}})
+
+
+def test_good_modes():
+    spec = parse_config({"tables": {"t": PLAIN | {"ordering": "event_time", "guard": "event_timestamp", "null_policy": "presence", "event_ids": "deterministic", "delete_ops": ["d", "t"], "retries": 2, "renames": {"old": "name"}, "keep_versions": None, "trigger": "1 minute"}}})["t"]
+    assert (spec.ordering, spec.guard, spec.null_policy, spec.event_ids, spec.delete_ops, spec.retries, spec.renames) == ("event_time", "event_timestamp", "presence", "deterministic", ("d", "t"), 2, (("old", "name"),))
+    assert parse_config({"tables": {"t": PLAIN | {"guard": None, "renames": None}}})["t"].renames == ()

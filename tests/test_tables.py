@@ -141,7 +141,7 @@ def test_a_small_batch_writes_in_proportion_to_itself(spark, placed):
         small = lines(spark, *(line(2 + batch, "u", id=i, name=f"changed {batch}") for i in range(20)), line(2, "i", id=30_000 + batch, name="new"), line(2, "d", id=100 + batch))
         assert store.merge(plan_batch(small, spec)) == batch + 1
         assert store.latest()["metrics"] == {"numOutputRows": 22, "numTargetRowsInserted": 1, "numBucketsRewritten": 0, "numDeltas": 4}
-    whole, deltas = (sum(x[i] for x in store.latest()["bytes"].values()) for i in (0, 1))
+    whole, deltas = (sum(x[i] for x in store.sizes().values()) for i in (0, 1))
     assert whole > 100_000 > 2 * deltas
     assert store.read().count() == 20_003 and store.read().filter("name = 'changed 2'").count() == 20 and store.read().filter("name is null").count() == 3
     assert store.read(1).filter("name = 'changed 0'").count() == 20 and store.read(0).count() == 20_000

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 log = logging.getLogger("tidewell")
 
-TABLE_FAILURE, UNKNOWN_ATTRIBUTE, UNKNOWN_TOPIC, PARTITION_CHANGE = "table_failure", "unknown_attribute", "unknown_topic", "partition_change"
+TABLE_FAILURE, UNKNOWN_ATTRIBUTE, UNKNOWN_TOPIC, PARTITION_CHANGE, SCHEMA_CHANGE = "table_failure", "unknown_attribute", "unknown_topic", "partition_change", "schema_change"
 
 
 @dataclass(frozen=True)
@@ -40,3 +40,7 @@ def unknown_topic(topic: str) -> Alert:
 
 def partition_change(table: str, stored: list[str], configured: list[str]) -> Alert:
     return Alert(PARTITION_CHANGE, table, "the partition layout of an existing table cannot change", {"stored": stored, "configured": configured})
+
+
+def schema_change(table: str, what: str) -> Alert:
+    return Alert(SCHEMA_CHANGE, table, f"stored columns cannot become the configured ones: {what}")

@@ -45,6 +45,10 @@ class TableSpec:
     max_files_per_trigger: int | None = None
     keep_versions: int | None = None  # older data and log records go after a batch
     kafka_servers: str | None = None  # read kafka_topic from there instead of bronze_path
+    renames: tuple[tuple[str, str], ...] = ()  # (stored column, its new name)
+    retries: int = 0  # of a batch that fails, before it is dead-lettered
+    file_rows: int = 1_000_000  # rows of a data file at most
+    target_mb: int = 128  # of a data file after a compaction
 
     @property
     def keys(self) -> tuple[tuple[str, str], ...]:
@@ -63,12 +67,15 @@ class TableSpec:
     def dedup_time(self) -> bool:
         return False
 
+    @property
+    def wide(self) -> tuple[tuple[str, str], ...]:
+        """(name, Spark's type) of the table's columns: keys, data, metadata."""
+        columns = tuple((c, SPARK_TYPES[t]) for c, t in (*self.keys, *self.data, *META))
+        return (*columns, ("event_date", "date"), *((("deduptime", "bigint"),) if self.dedup_time else ()))
+
     @property
     def schema(self) -> str:
-        """The table's DDL: keys, data, metadata."""
-        columns = [(c, SPARK_TYPES[t]) for c, t in (*self.keys, *self.data, *META)] + [("event_date", "date")]
-        columns += [("deduptime", "bigint")] if self.dedup_time else []
-        return ", ".join(f"`{c}` {t}" for c, t in columns)
+        return ", ".join(f"`{c}` {t}" for c, t in self.wide)
 
 
 @dataclass(frozen=True)
@@ -210,8 +217,25 @@ def _check_plain(cfg: dict, where: str) -> list[str]:
 
 
 _CHECKS = {EAV: _check_eav, JSON_EMBEDDED: _check_json, PLAIN: _check_plain}
-_MODES = ("ordering", "guard", "null_policy", "event_ids", "delete_ops", "buckets", "trigger", "max_files_per_trigger", "keep_versions", "kafka_servers")
-_COUNTS = ("buckets", "max_files_per_trigger", "keep_versions")
+_MODES = ("ordering", "guard", "null_policy", "event_ids", "delete_ops", "buckets", "trigger", "max_files_per_trigger", "keep_versions", "kafka_servers", "renames", "retries", "file_rows", "target_mb")
+_COUNTS = ("buckets", "max_files_per_trigger", "keep_versions", "file_rows", "target_mb")
+_CHOICES = {"ordering": ("reference", "event_time"), "guard": (None, "event_timestamp"), "null_policy": ("non_null_wins", "presence"), "event_ids": ("uuid", "deterministic")}
+
+
+def _check_modes(cfg: dict, where: str) -> list[str]:
+    errors = [f"{where} '{f}' must be a positive whole number" for f in _COUNTS if cfg.get(f, 1) is not None and (type(cfg.get(f, 1)) is not int or cfg.get(f, 1) < 1)]
+    errors += [f"{where} '{f}' must be one of {list(known)}, not {cfg[f]!r}" for f, known in _CHOICES.items() if f in cfg and cfg[f] not in known]
+    if "enabled" in cfg and type(cfg["enabled"]) is not bool:
+        errors.append(f"{where} 'enabled' must be true or false")
+    if type(cfg.get("retries", 0)) is not int or cfg.get("retries", 0) < 0:
+        errors.append(f"{where} 'retries' must be a whole number")
+    ops = cfg.get("delete_ops", ["d"])
+    if not isinstance(ops, list) or not ops or not all(isinstance(o, str) for o in ops):
+        errors.append(f"{where} 'delete_ops' must be a non-empty list of texts")
+    renames = cfg.get("renames") or {}
+    if not isinstance(renames, dict) or not all(isinstance(x, str) and x for pair in renames.items() for x in pair) or len(set(renames.values())) < len(renames):
+        errors.append(f"{where} 'renames' must map columns to other new names")
+    return errors + [e for f in ("trigger", "kafka_servers") if cfg.get(f) is not None for e in _text(cfg, f, where)]
 
 
 def check(name: str, cfg: object) -> list[str]:
@@ -224,17 +248,18 @@ def check(name: str, cfg: object) -> list[str]:
     if kind not in _CHECKS:
         return [*errors, f"{where} invalid type '{kind}': one of {sorted(_CHECKS)}"]
     errors += [f"{where} missing required field: '{f}'" for f in TYPE_FIELDS[kind] if f not in cfg]
-    errors += [f"{where} '{f}' must be a positive whole number" for f in _COUNTS if cfg.get(f, 1) is not None and (type(cfg.get(f, 1)) is not int or cfg.get(f, 1) < 1)]
+    errors += _check_modes(cfg, where)
     return errors + _CHECKS[kind](cfg, f"{where} {kind}:")
 
 
 def build(name: str, cfg: dict) -> TableSpec:
     """The specification of a checked entry."""
     pairs = lambda entries: tuple((e["name"], e["type"]) for e in entries)
+    shape = {"delete_ops": tuple, "renames": lambda r: tuple((r or {}).items())}
     common = {
-        "name": name, "enabled": bool(cfg["enabled"]), "topic": cfg["kafka_topic"], "bronze_path": cfg["bronze_path"], "silver_path": cfg["silver_path"],
+        "name": name, "enabled": cfg["enabled"], "topic": cfg["kafka_topic"], "bronze_path": cfg["bronze_path"], "silver_path": cfg["silver_path"],
         "checkpoint_path": cfg["checkpoint_path"], "dead_letter_path": cfg["dead_letter_path"], "partition_by": _names(cfg.get("partition_by")), "merge_key": _names(cfg["merge_key"]),
-        **{m: tuple(cfg[m]) if m == "delete_ops" else cfg[m] for m in _MODES if m in cfg},
+        **{m: shape.get(m, lambda x: x)(cfg[m]) for m in _MODES if m in cfg},
     }
     if cfg["type"] == EAV:
         return EavSpec(**common, key_field=cfg["cassandra_key_field"], attributes=tuple((a, v["wide"], v["type"]) for a, v in cfg["attributes"].items()))

@@ -47,16 +47,41 @@ def key_changes(routed: DataFrame, spec: TableSpec) -> DataFrame:
             *(F.when(t, F.col(f"__v{i}.blob")).alias(f"__b{i}") for i, t in enumerate(there)),
             *(t.cast("int").alias(f"has_{col}") for (_, col, _), t in zip(spec.attributes, there, strict=True)))
         rows = decode_blobs(blobs, {f"__b{i}": (col, kind) for i, (_, col, kind) in enumerate(spec.attributes)})
-    else:
-        rest = [c for c in routed.columns if c not in (*names, "json_str", "op", "route", "ts_ms", "__tie")]
-        grouped = events.groupBy(*names).agg(deleted, F.max(F.when(mutation, F.struct("ts_ms", "__tie", *rest))).alias("__v"))
-        ts = F.col("__v.ts_ms")
-        rows = grouped.select(*names, ts.alias("event_timestamp"), "deleted_at", (F.col("__v").isNotNull() & late(ts)).alias("live"), *(F.col(f"__v.{c}").alias(c) for c in rest))
-        if isinstance(spec, JsonSpec):
-            rows = expand_json(rows, spec, "event_timestamp", "deleted_at", "live")
+        return enrich(rows, spec)
+    return _shaped(_row_changes(routed, spec), spec, "deleted_at", "live")
+
+
+def _row_changes(routed: DataFrame, spec: TableSpec) -> DataFrame:
+    """One row per key of a batch: its latest mutation's cells, event_timestamp, deleted_at and whether it is ``live``."""
+    names = [c for c, _ in spec.keys]
+    mutation = F.col("route") == MUTATION
+    rest = [c for c in routed.columns if c not in (*names, "json_str", "op", "route", "ts_ms", "__tie")]
+    grouped = routed.filter(F.col("route").isin(MUTATION, TOMBSTONE)).groupBy(*names).agg(
+        F.max(F.when(~mutation, F.col("ts_ms"))).alias("deleted_at"), F.max(F.when(mutation, F.struct("ts_ms", "__tie", *rest))).alias("__v"))
+    ts = F.col("__v.ts_ms")
+    late = F.lit(True) if spec.ordering != "event_time" else F.col("deleted_at").isNull() | (ts > F.col("deleted_at"))
+    return grouped.select(*names, ts.alias("event_timestamp"), "deleted_at", (F.col("__v").isNotNull() & late).alias("live"), *(F.col(f"__v.{c}").alias(c) for c in rest))
+
+
+def _shaped(changes: DataFrame, spec: TableSpec, *carried: str) -> DataFrame:
+    """Enriched rows of ``_row_changes``."""
+    rows = expand_json(changes, spec, "event_timestamp", *carried) if isinstance(spec, JsonSpec) else changes
     return enrich(rows, spec)
 
 
+def prefix_changes(routed: DataFrame, spec: TableSpec) -> tuple[DataFrame, DataFrame]:
+    """(upserts, tombstones) of a batch whose tombstones name prefixes of keys, from one grouping by the keys.
+
+    Each part's filter names what the other part needs of the grouping (and is true of all its rows), so
+    that column pruning leaves both with the same shuffle and Spark makes it once.
+    """
+    changes = _row_changes(routed, spec)
+    least = F.lit(-(1 << 63))
+    stones = changes.filter(~F.col("live") | F.col("deleted_at").isNotNull()).select(*(c for c, _ in spec.keys), "deleted_at")
+    live = changes.filter(F.col("live") & (F.col("deleted_at").isNull() | (F.col("deleted_at") >= least))).drop("live", "deleted_at")
+    return _shaped(live, spec), stones
+
+
 def expand_json(events: DataFrame, spec: JsonSpec, *carried: str) -> DataFrame:
     """The configured keys of the embedded JSON texts as typed columns, and ``carried``; each text is parsed once."""
     parsed = {}
@@ -110,11 +135,14 @@ def with_deletion(rows: DataFrame, stones: DataFrame, spec: TableSpec, at: str)
     """
     names = [c for c, _ in spec.keys]
     out, hits = rows, []
-    for length in range(len(spec.delete_keys), len(names) + 1):
+    # a JSON event with a whole key is a mutation, so there a tombstone always lacks the last key
+    longest = len(names) - 1 if isinstance(spec, JsonSpec) and spec.clustering_keys else len(names)
+    for length in range(len(spec.delete_keys), longest + 1):
         lead, rest = names[:length], names[length:]
-        level = stones.filter(" and ".join([*(f"`{c}` is not null" for c in lead), *(f"`{c}` is null" for c in rest)]))
+        named = F.expr(" and ".join([*(f"`{c}` is not null" for c in lead), *(f"`{c}` is null" for c in rest)]))
+        level = stones.filter(F.when(F.col("deleted_at").isNotNull(), named))  # not a filter of keys alone, which would part the shuffles
         level = level.groupBy(*(F.col(c).alias(f"__d_{c}") for c in lead)).agg(F.max("deleted_at").alias(f"__deleted_{length}"))
-        on = [F.col(c) == F.col(f"__d_{c}") for c in lead]
+        on = [F.col(c).eqNullSafe(F.col(f"__d_{c}")) for c in lead]  # the names of a level are never NULL
         out = out.join(level, on, "left").drop(*(f"__d_{c}" for c in lead))
         hits.append(f"__deleted_{length}")
     return out.withColumn(at, F.greatest(*hits) if len(hits) > 1 else F.col(hits[0])).drop(*hits)

@@ -40,6 +40,10 @@ class BatchPlan:
         """The next table; ``deletes`` False says that the batch is known to have no tombstones."""
         if shape.by_whole_key(self.spec):
             return apply_changes(table, shape.key_changes(self.routed, self.spec), self.spec)
+        if self.spec.ordering != "event_time" and deletes:
+            # one parse and one shuffle: tombstones and mutations are parts of one grouping
+            upserts, stones = shape.prefix_changes(self.routed, self.spec)
+            return merge(table, upserts, stones, self.spec)
         return merge(table, self.upserts, self.stones if deletes else None, self.spec)
 
 

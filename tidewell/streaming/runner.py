@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -13,14 +14,20 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..alerts import AlertSink, log_sink, table_failure, unknown_attributes, unknown_topic
 from ..config import EavSpec, TableSpec
+from ..operators import envelope
 from ..operators.envelope import CORRUPT, DROPPED, MUTATION, TOMBSTONE
 from ..plans.batch import plan_batch
 from ..sources.bronze import ensure_folder, kafka_lines, read_file, stream_lines, unconfigured_topics
+from .log import LISTED
 from .store import SnapshotStore
 
 log = logging.getLogger("tidewell")
 #: Unknown attributes that an alert names; the events are all counted.
 NAMED = 100
+#: Before the first retry; each further one waits twice as long.
+RETRY_SECONDS = 1.0
+#: Up to so many buckets a list of all files is small.
+SMALL = 1024
 Handler = Callable[[DataFrame, int], None]
 
 
@@ -39,30 +46,29 @@ def dead_letter(lines: DataFrame, spec: TableSpec, query_id: str, batch_id: int,
 
 
 def handler(spec: TableSpec, alert: AlertSink = log_sink, on_counts: Callable[[int, dict[str, int]], None] | None = None) -> Handler:
-    """Parse a micro-batch once, count its routes, write its corrupt lines, merge the rest."""
+    """Parse a micro-batch once, look at it once, write its corrupt lines, merge the rest."""
 
     def handle(lines: DataFrame, batch_id: int) -> None:
         query_id = checkpoint_id(lines.sparkSession, spec)
         plan = plan_batch(lines, spec)
         plan.routed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            unknown = (F.col("route") == MUTATION) & (~F.col("column2").isin([a for a, _, _ in spec.attributes]) if isinstance(spec, EavSpec) else F.lit(False))
-            seen = plan.routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.count_if(unknown).alias("unknown")).collect()
-            counts = {r["route"]: r["n"] for r in seen}
+            store = SnapshotStore(lines.sparkSession, spec, alert=alert)
+            seen = store.look(plan)
+            counts = seen.counts
             if on_counts:
                 on_counts(batch_id, counts)
             if counts.get(DROPPED):
                 log.info("%s batch %d: %d events name no entity", spec.name, batch_id, counts[DROPPED])
-            strange = sum(r["unknown"] for r in seen)
-            if strange:
-                names = plan.routed.filter(unknown).select("column2").distinct().limit(NAMED).collect()
-                alert(unknown_attributes(spec.name, [r[0] for r in names], strange))
+            if seen.unknown:
+                names = envelope.unknown_attributes(plan.routed.filter(F.col("route") == MUTATION), spec).limit(NAMED).collect()
+                alert(unknown_attributes(spec.name, [r[0] for r in names], seen.unknown))
             if counts.get(CORRUPT):
                 dead_letter(plan.corrupt, spec, query_id, batch_id, "corrupt")
             if counts.get(MUTATION) or counts.get(TOMBSTONE):
-                store = SnapshotStore(lines.sparkSession, spec, alert=alert)
-                store.merge(plan, query_id, batch_id, deletes=bool(counts.get(TOMBSTONE)))
-                if spec.keep_versions:
+                version = store.merge(plan, query_id, batch_id, seen=seen)
+                # old versions go at once where that is cheap, else when the files have just been listed
+                if spec.keep_versions and version is not None and (store.buckets <= SMALL or version % LISTED == LISTED - 1):
                     store.expire(spec.keep_versions)
         finally:
             plan.routed.unpersist()
@@ -71,17 +77,25 @@ def handler(spec: TableSpec, alert: AlertSink = log_sink, on_counts: Callable[[i
 
 
 def isolated(handle: Handler, spec: TableSpec, alert: AlertSink = log_sink) -> Handler:
-    """``handle`` such that a failing batch is dead-lettered whole and the stream goes on."""
+    """``handle`` such that a failing batch is tried again ``spec.retries`` times, then dead-lettered whole, and the stream goes on.
+
+    A batch that was committed before it failed is known by its id and not applied again.
+    """
 
     def safe(lines: DataFrame, batch_id: int) -> None:
-        try:
-            handle(lines, batch_id)
-        except Exception as error:  # noqa: BLE001 - one table's failure must not stop the others
-            alert(table_failure(spec.name, batch_id, error))
+        for left in range(spec.retries, -1, -1):
             try:
-                dead_letter(lines, spec, checkpoint_id(lines.sparkSession, spec), batch_id, f"{type(error).__name__}: {error}"[:500])
-            except Exception:  # noqa: BLE001
-                log.exception("%s batch %d: the dead letter could not be written", spec.name, batch_id)
+                return handle(lines, batch_id)
+            except Exception as error:  # noqa: BLE001 - one table's failure must not stop the others
+                failure = error
+                if left:
+                    log.warning("%s batch %d failed and is tried again: %s", spec.name, batch_id, error)
+                    time.sleep(RETRY_SECONDS * 2 ** (spec.retries - left))
+        alert(table_failure(spec.name, batch_id, failure))
+        try:
+            dead_letter(lines, spec, checkpoint_id(lines.sparkSession, spec), batch_id, f"{type(failure).__name__}: {failure}"[:500])
+        except Exception:  # noqa: BLE001
+            log.exception("%s batch %d: the dead letter could not be written", spec.name, batch_id)
 
     return safe
 
