@@ -34,7 +34,8 @@ def write_lines(lines: DataFrame, path: str) -> None:
     parts = {"year": F.date_format(utc, "yyyy"), "month": F.date_format(utc, "MM"), "day": F.date_format(utc, "dd"), "hour": F.date_format(utc, "HH")}
     # Spark's text writer cannot name its files .json; a one-column CSV without quotes is the same text
     plain = {"sep": "\u0001", "quote": "", "escapeQuotes": "false", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "extension": "json"}
-    lines.select("json_str").withColumns(parts).write.mode("append").partitionBy(*parts).options(**plain).csv(path)
+    dealt = lines.select("json_str").withColumns(parts).hint("rebalance", *parts)  # few files an hour, however many tasks
+    dealt.write.mode("append").partitionBy(*parts).options(**plain).csv(path)
 
 
 def file_system(spark: SparkSession, path: str):
