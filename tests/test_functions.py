@@ -42,6 +42,17 @@ def test_blobs_come_back(spark):
         assert [r.v for r in rows.select("i", decode_blob(F.col("b"), kind).alias("v")).orderBy("i").collect()] == values
 
 
+def test_floats_are_encoded_bit_for_bit(spark):
+    rng = random.Random(3)
+    for kind, code, size, bias in (("double", ">d", 8, 1023), ("float", ">f", 4, 127)):
+        values = [0.0, -0.0, math.inf, -math.inf, math.nan, None] + [s * 2.0**e * f for e in (1 - bias, 2 - bias, -1, 0, 1, 10, bias - 1, bias) for s in (1, -1) for f in (1.0, 1.5)] + [struct.unpack(code, bytes(size - 2) + bytes([k, k]))[0] for k in (0, 1, 255)]
+        values += [x for x in (struct.unpack(code, rng.randbytes(size))[0] for _ in range(400)) if not math.isnan(x)]
+        values += [x for n in (3, 1000, 2**20) for x in (math.nextafter(n, 0), float(n), math.nextafter(n, math.inf))] if kind == "double" else []
+        rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}").select("i", encode_blob(F.col("v"), kind).alias("b"))
+        for v, b in zip(values, [r.b for r in rows.orderBy("i").collect()], strict=True):
+            assert b is None if v is None else math.isnan(struct.unpack(code, base64.b64decode(b))[0]) if math.isnan(v) else base64.b64decode(b) == struct.pack(code, v), v
+
+
 def test_lenient_casts(spark):
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(["abc", "1.9", "99999999999", " 7 ", "-1.9", None, "1e3"])], "i int, v string")
     got = [r.v for r in rows.select("i", lenient_cast(F.col("v"), "int").alias("v")).orderBy("i").collect()]

@@ -185,6 +185,37 @@ def test_a_batch_opens_the_files_that_may_hold_its_keys(spark, placed):  # noqa:
     assert bounded.may_hold("a", "b") and not bounded.may_hold("a", "az") and not bounded.may_hold("e", "f") and bounded.may_hold(None, None) and replace(bounded, low=None).may_hold("x", "y")
 
 
+def test_ranges_and_sizes_after_a_compaction(spark, placed):  # noqa: F811
+    spec = replace(placed(PILOTS), buckets=2, target_mb=1)
+    store = SnapshotStore(spark, spec)
+    made = spark.range(150_000).select(F.format_string('{"ts_ms":1,"op":"i","after":{"id":{"value":%d},"name":{"value":"%s"}}}', "id", F.sha2(F.col("id").cast("string"), 256)).alias("json_str"))
+    store.merge(plan_batch(made, spec))
+    store.merge(put(spark, spec, range(1000, 1010), "new", 2))
+    store.compact()
+    files = store.log.files(store.latest()["version"])
+    # the part of the range at the edge of two buckets has a file in each
+    assert len(files) >= 10 and sum(not 1 << 19 <= f.bytes <= 1 << 21 for f in files) <= 2 * 2
+    assert sum(f.may_hold(1000, 1200) for f in files) <= 4
+    store.merge(put(spark, spec, [1100, 160_000], "newer", 3))
+    got = store.read(between=(1000, 1200))
+    assert got.count() == 201 and rows(got.filter("name like 'new%'"), "id", "name") == sorted([(i, "new") for i in range(1000, 1010)] + [(1100, "newer")]) and scans(got) == 2
+    assert store.read(between=(150_000, 170_000)).count() == 1 and store.read(between=(-5, -1)).count() == 0
+
+
+def test_partition_values_come_from_the_log(spark, placed):  # noqa: F811
+    spec = replace(placed(build("p", PLAIN | {"partition_by": ["name"], "columns": [{"name": "id", "type": "int"}, {"name": "name", "type": "text"}]})), buckets=4)
+    store = SnapshotStore(spark, spec)
+    assert rows(store.values("name"), "name") == []
+    store.merge(plan_batch(lines(spark, *(line(1, "i", id=i, name=["a/b", "c d", None, "é%"][i % 4]) for i in range(4000))), spec))
+    seen = store.values("name")
+    assert rows(seen, "name") == [("a/b",), ("c d",), ("é%",)] and scans(seen) == 0
+    # the only row of a value moves on: the value goes, though its file is still there
+    store.merge(put(spark, spec, [9000], "once"))
+    store.merge(put(spark, spec, [9000], "moved", 2))
+    assert rows(store.values("name"), "name") == [("a/b",), ("c d",), ("moved",), ("é%",)]
+    assert store.read().count() == 4001
+
+
 def test_long_text_keys_and_null_keys_are_never_skipped(spark, placed):  # noqa: F811
     spec = replace(placed(USERS), buckets=1)
     store, keys = SnapshotStore(spark, spec), ["k" * 300 + c for c in "abc"] + ["ÿ" * 200, "😀" * 150]

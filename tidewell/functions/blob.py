@@ -82,10 +82,27 @@ def _value(bits: Column, kind: str) -> Column:
 
 
 def encode_blob(col: Column, kind: str) -> Column:
-    """A base64 blob of a value (text, int, bigint or boolean), as a capture tool writes it."""
+    """A base64 blob of a value, as a capture tool writes it."""
     if kind in ("text", "uuid"):
         return F.base64(F.encode(col.cast("string"), "UTF-8"))
     if kind == "boolean":
         return F.when(col, F.lit("AQ==")).when(~col, F.lit("AA=="))
-    width = {"int": 8, "bigint": 16}[kind]
-    return F.base64(F.to_binary(F.right(F.lpad(F.hex(lenient_cast(col, "bigint")), 16, "0"), F.lit(width)), F.lit("hex")))
+    bits = {"float": lambda: _ieee_bits(col.cast("float").cast("double"), 127, 23), "double": lambda: _ieee_bits(col.cast("double"), 1023, 52)}.get(kind, lambda: lenient_cast(col, "bigint"))()
+    width = {"int": 8, "float": 8, "bigint": 16, "double": 16}[kind]
+    return F.base64(F.to_binary(F.right(F.lpad(F.hex(bits), 16, "0"), F.lit(width)), F.lit("hex")))
+
+
+def _ieee_bits(value: Column, bias: int, fraction_bits: int) -> Column:
+    """The bits of a double, or of a float given as one; every step is exact."""
+    two, size = F.lit(2.0), F.abs(value)
+    near = F.floor(F.log2(size)).cast("double")
+    # the logarithm may be off by one next to a power of two
+    power = F.when(F.pow(two, near) > size, near - 1).when(F.pow(two, near + 1) <= size, near + 1).otherwise(near)
+    power = F.greatest(power, F.lit(float(1 - bias)))
+    part = size * F.pow(two, F.lit(float(bias - 1))) * F.pow(two, F.lit(float(fraction_bits)))
+    normal = (power + bias).cast("bigint") * F.lit(1 << fraction_bits) + ((size / F.pow(two, power) - 1) * F.lit(float(1 << fraction_bits))).cast("bigint")
+    tiny = F.when(size < F.lit(2.0 ** (1 - bias)), part.cast("bigint"))
+    top = F.lit((2 * bias + 1) << fraction_bits)
+    bits = F.when(F.isnan(value), top + (1 << (fraction_bits - 1))).when(size == float("inf"), top).when(size == 0, 0).otherwise(F.coalesce(tiny, normal))
+    sign = F.lit(-(1 << 63)) if fraction_bits == 52 else F.lit(1 << 31)
+    return F.when(value.isNotNull(), bits.bitwiseOR(F.when((value < 0) | (value.cast("string") == "-0.0"), sign).otherwise(F.lit(0).cast("bigint"))))

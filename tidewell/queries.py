@@ -6,7 +6,9 @@ that report on a stored table's own history.
 
 from __future__ import annotations
 
+import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
@@ -20,7 +22,7 @@ from .operators import envelope, shape
 from .plans.batch import plan_batch, replay
 from .sources.bronze import write_lines
 from .sources.generator import cell, event_lines
-from .streaming.runner import start
+from .streaming.runner import run, start
 from .streaming.store import SnapshotStore
 from .trace import trace_entity
 from .verify import distinct_values, report
@@ -78,6 +80,24 @@ def eav_decode_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(spark, [lines], spec).select("orderkey", "custkey", "is_final", "priority", "day")
 
 
+def eav_decode_floats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Doubles and floats through their big-endian blobs, with either sign."""
+    spec = _eav("orders", "orderkey", {"d": ("price", "double"), "n": ("less", "double"), "f": ("single", "float")})
+    price = F.col("o_totalprice").cast("double")
+    blobs = {"d": encode_blob(price, "double"), "n": encode_blob(-price / 7, "double"), "f": encode_blob(price, "float")}
+    lines = _vertical(_table(spark, sf_dir, "orders"), F.lit(1), F.col("o_orderkey"), blobs)
+    return replay(spark, [lines], spec).select("orderkey", "price", "less", F.col("single").cast("double").alias("single"))
+
+
+def eav_attribute_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null value deletes one attribute and leaves the others alone."""
+    orders = _table(spark, sf_dir, "orders")
+    spec = _eav("orders", "orderkey", {"c": ("custkey", "bigint"), "p": ("priority", "text")})
+    first = _vertical(orders, F.lit(1), F.col("o_orderkey"), {"c": encode_blob(F.col("o_custkey"), "bigint"), "p": encode_blob(F.col("o_orderpriority"), "text")})
+    gone = _vertical(orders.filter("o_orderkey % 3 = 0"), F.lit(2), F.col("o_orderkey"), {"p": F.lit(None).cast("string")})
+    return replay(spark, [first, gone], spec).select("orderkey", "custkey", "priority", "event_timestamp")
+
+
 def _event_lines(events: DataFrame) -> DataFrame:
     """Attribute events of the events table; the type error stands for the delete of an entity."""
     gone = F.col("event_type") == "error"
@@ -223,9 +243,36 @@ def enrich_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(spark, [lines], spec).select("id", "event_timestamp", "event_date")
 
 
+def lenient_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells that are no such number or truth value become NULL; fractions are cut off."""
+    spec = _plain("casts", "orderkey", {"orderkey": "bigint", "whole": "int", "final": "boolean", "none": "int", "real": "float"})
+    cells = {"orderkey": F.col("o_orderkey"), "whole": F.col("o_totalprice").cast("decimal(20,2)"), "final": F.col("o_orderstatus"), "none": F.col("o_orderpriority"), "real": F.col("o_custkey")}
+    lines = _plain_lines(_table(spark, sf_dir, "orders"), F.lit(1), F.lit("i"), cells)
+    return replay(spark, [lines], spec).select("orderkey", "whole", "final", "none", F.col("real").cast("double").alias("real"))
+
+
+def event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic event ids."""
+    spec = replace(_plain("orders", "orderkey", _ORDER), event_ids="deterministic")
+    return replay(spark, [_order_lines(_orders(spark, sf_dir), 1, "i")], spec).select("orderkey", "event_id")
+
+
+def unique_event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = replay(spark, [_order_lines(_orders(spark, sf_dir), 1, "i")], _plain("orders", "orderkey", _ORDER))
+    return table.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("event_id").alias("ids"))
+
+
+def null_first_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON events without their first key are dropped, whatever else they say."""
+    events = _table(spark, sf_dir, "events")
+    key = F.when(F.col("event_id") % 5 != 0, F.col("user_id").cast("string"))
+    lines = event_lines(events, _ms(F.col("ts")), F.lit("i"), {"user_id": cell(key), "event_type": cell(F.col("event_type")), "props": cell(F.col("props"))})
+    return plan_batch(lines, _json_spec()).routed.groupBy("route").agg(F.count(F.lit(1)).alias("events"))
+
+
 def _base(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith("local"):
+    if not shared and not re.match(r"local(\[.*\])?$", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{shared.rstrip('/')}/streams-{uuid.uuid4().hex}" if shared else "file://" + tempfile.mkdtemp(prefix="tidewell-streams-")
 
@@ -260,6 +307,89 @@ def verify_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(spark, {spec.name: spec})
 
 
+def _several(spark: SparkSession, sf_dir: str) -> dict[str, TableSpec]:
+    """Two tables and a disabled one, each with its stream; every document is a corrupt line of the second."""
+    base = _base(spark)
+    events, customers = _event_spec(base), replace(_plain("customer", "custkey", {"custkey": "bigint", "name": "text"}), bronze_path=f"{base}/topics/customer", silver_path=f"{base}/silver/customer", checkpoint_path=f"{base}/checkpoints/customer", dead_letter_path=f"{base}/dead-letter/customer")
+    off = replace(customers, name="off", enabled=False)
+    write_lines(_event_lines(_table(spark, sf_dir, "events")), events.bronze_path)
+    good = _plain_lines(_table(spark, sf_dir, "customer"), F.lit(1), F.lit("i"), {"custkey": F.col("c_custkey"), "name": F.col("c_name")})
+    bad = _table(spark, sf_dir, "documents").select(F.concat(F.lit("no event: "), F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]", " ")).alias("json_str"))
+    write_lines(good.unionByName(bad), customers.bronze_path)
+    tables = {t.name: t for t in (events, customers, off)}
+    run(spark, tables, once=True)
+    return tables
+
+
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a table's stream could not read, as it lies in the dead-letter folder."""
+    path = _several(spark, sf_dir)["customer"].dead_letter_path
+    found = spark.read.option("recursiveFileLookup", "true").schema("`table` string, batch_id bigint, reason string, json_str string").json(path)
+    return found.select("table", "batch_id", "reason", F.md5("json_str").alias("line_md5"))
+
+
+def several_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report over several streams: counts of events, rows and dead letters; disabled tables are left out."""
+    return report(spark, _several(spark, sf_dir))
+
+
+def _stored_orders(spark: SparkSession, **changes: object) -> TableSpec:
+    return replace(_plain("orders", "orderkey", _ORDER), silver_path=f"{_base(spark)}/silver/orders", buckets=4, **changes)
+
+
+def _kept(spark: SparkSession, lines: DataFrame, spec: TableSpec) -> SnapshotStore:
+    """A stored table after a batch."""
+    store = SnapshotStore(spark, spec)
+    store.merge(plan_batch(lines, spec))
+    return store
+
+
+def partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table partitioned by status, whose rows change partition with a small batch, a large one and a compaction."""
+    orders, spec = _orders(spark, sf_dir), _stored_orders(spark, partition_by=("status",))
+    _kept(spark, _order_lines(orders, 1, "i"), spec)
+    _kept(spark, _order_lines(orders.filter("orderkey % 50 = 0"), 2, "u", status=F.lit("Y")), spec)
+    store = _kept(spark, _order_updates(orders), spec)
+    store.compact()
+    return store.read().select(*_ORDER, "event_timestamp")
+
+
+def partition_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values of a partition column, from the log where no delta may have changed them."""
+    orders, spec = _orders(spark, sf_dir), _stored_orders(spark, partition_by=("priority",))
+    _kept(spark, _order_lines(orders, 1, "i"), spec)
+    return _kept(spark, _order_lines(orders.filter("orderkey % 100 = 0"), 2, "u", priority=F.lit("0-LATE")), spec).values("priority")
+
+
+def changed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table whose configuration then widens one column, renames one and adds one."""
+    orders, spec = _orders(spark, sf_dir), _stored_orders(spark)
+    narrow = replace(spec, columns=tuple((c, "int" if c == "custkey" else t) for c, t in spec.columns))
+    _kept(spark, _order_lines(orders, 1, "i"), narrow)
+    wide = replace(spec, columns=(*((c if c != "priority" else "urgency", t) for c, t in spec.columns), ("note", "text")), renames=(("priority", "urgency"),))
+    updates = _plain_lines(orders.filter("orderkey % 5 = 0"), F.lit(2), F.lit("u"), {"orderkey": F.col("orderkey"), "custkey": F.col("custkey") + 5_000_000_000, "note": F.lit("seen")})
+    return _kept(spark, updates, wide).read().select("orderkey", "custkey", "urgency", "note", "event_timestamp")
+
+
+def two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers of one table at once, each with half of the changes."""
+    orders, spec = _orders(spark, sf_dir), _stored_orders(spark)
+    _kept(spark, _order_lines(orders, 1, "i"), spec)
+    halves = [threading.Thread(target=_kept, args=(spark, _order_lines(orders.filter(f"orderkey % 4 = {k}"), 2, "u", status=F.lit(f"W{k}")), spec)) for k in (0, 2)]
+    for half in halves:
+        half.start()
+    for half in halves:
+        half.join()
+    return SnapshotStore(spark, spec).read().select(*_ORDER, "event_timestamp")
+
+
+def key_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a range of keys; files that cannot have any are not opened."""
+    spec = _stored_orders(spark, file_rows=2000)
+    store = _kept(spark, _order_lines(_orders(spark, sf_dir), 1, "i"), spec)
+    return store.read(between=(1000, 2000)).select(*_ORDER, "event_timestamp")
+
+
 _E = """
 e AS (SELECT user_id::VARCHAR AS k, event_type AS a, epoch_us(ts) // 1000 AS t, CAST(json_extract_string(props, '$.k') AS INT) AS v,
   CASE WHEN ts < '2024-01-11' THEN 0 WHEN ts < '2024-01-21' THEN 1 ELSE 2 END AS b FROM events)"""
@@ -327,6 +457,21 @@ SELECT k AS "user", {_each("max(CASE WHEN a = '@' THEN v END) AS @")}, max(t) AS
         "plain_soft_delete": _order_sql(t="CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END", **{c: f"CASE WHEN o_orderstatus <> 'P' THEN {_PLAIN_COLUMNS[c]} END" for c in ("custkey", "status", "totalprice", "priority")}),
         "plain_late_guard": _order_sql(t="2"),
         "dedup_latest": f"SELECT l_orderkey, l_linenumber, l_shipdate::DATE AS l_shipdate, {', '.join(_ITEM_ORDER[1:])} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(f'{c} DESC' for c in _ITEM_ORDER)}) AS n FROM lineitem) WHERE n = 1",
+        "eav_decode_floats": "SELECT o_orderkey::VARCHAR AS orderkey, o_totalprice AS price, -o_totalprice / 7 AS less, o_totalprice::FLOAT::DOUBLE AS single FROM orders",
+        "eav_attribute_delete": "SELECT o_orderkey::VARCHAR AS orderkey, o_custkey AS custkey, CASE WHEN o_orderkey % 3 <> 0 THEN o_orderpriority END AS priority, CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS event_timestamp FROM orders",
+        "lenient_casts": "SELECT o_orderkey AS orderkey, trunc(o_totalprice::DECIMAL(20, 2))::INT AS whole, CASE o_orderstatus WHEN 'F' THEN false END AS final, NULL::INT AS none, o_custkey::FLOAT::DOUBLE AS real FROM orders",
+        "event_ids": "SELECT o_orderkey AS orderkey, sha256('orders' || chr(1) || o_orderkey || chr(1) || '1') AS event_id FROM orders",
+        "unique_event_ids": "SELECT count(*) AS rows, count(*) AS ids FROM orders",
+        "null_first_key": "SELECT CASE WHEN event_id % 5 = 0 THEN 'dropped' ELSE 'mutation' END AS route, count(*) AS events FROM events GROUP BY 1",
+        "dead_letters": "SELECT 'customer' AS \"table\", CAST(0 AS BIGINT) AS batch_id, 'corrupt' AS reason, md5('no event: ' || regexp_replace(coalesce(text, ''), '[\r\n]', ' ', 'g')) AS line_md5 FROM documents",
+        "several_tables": """SELECT 'events' AS "table", 'EavSpec' AS type, (SELECT count(*) FROM events) AS bronze_events, true AS silver_exists, CAST(0 AS BIGINT) AS silver_version,
+(SELECT count(DISTINCT user_id) FROM events WHERE event_type <> 'error') AS silver_rows, CAST(0 AS BIGINT) AS dead_letters, true AS ok
+UNION ALL SELECT 'customer', 'PlainSpec', (SELECT count(*) FROM customer) + (SELECT count(*) FROM documents), true, 0, (SELECT count(*) FROM customer), (SELECT count(*) FROM documents), true""",
+        "partitioned_table": _order_sql(status="CASE WHEN o_orderkey % 4 = 0 THEN 'X' WHEN o_orderkey % 50 = 0 THEN 'Y' ELSE o_orderstatus END", t="CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END"),
+        "partition_values": "SELECT DISTINCT CASE WHEN o_orderkey % 100 = 0 THEN '0-LATE' ELSE o_orderpriority END AS priority FROM orders",
+        "changed_columns": "SELECT o_orderkey AS orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 5000000000 ELSE o_custkey END AS custkey, o_orderpriority AS urgency, CASE WHEN o_orderkey % 5 = 0 THEN 'seen' END AS note, CASE WHEN o_orderkey % 5 = 0 THEN 2 ELSE 1 END::BIGINT AS event_timestamp FROM orders",
+        "two_writers": _order_sql(status="CASE o_orderkey % 4 WHEN 0 THEN 'W0' WHEN 2 THEN 'W2' ELSE o_orderstatus END", t="CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END"),
+        "key_range": f"{_order_sql()} WHERE o_orderkey BETWEEN 1000 AND 2000",
         "corrupt_route": "SELECT 'corrupt' AS route, (SELECT count(*) FROM documents) + (SELECT count(*) FROM customer WHERE c_nationkey = 3) AS events UNION ALL SELECT 'mutation', count(*) FROM customer",
         "op_breakdown": "SELECT CASE o_orderstatus WHEN 'F' THEN 'd' WHEN 'O' THEN 'u' ELSE 'i' END AS op, count(*) AS events FROM orders GROUP BY 1",
         "distinct_partitions": "SELECT DISTINCT c_mktsegment AS mktsegment FROM customer WHERE c_mktsegment IS NOT NULL",
@@ -340,5 +485,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         eav_roundtrip_customer, eav_decode_types, eav_pivot_events, eav_upsert_batches, eav_event_time_ordering, json_expand_events, json_upsert,
         json_partition_delete, plain_upsert_nonnull, plain_upsert_presence, plain_soft_delete, plain_late_guard, dedup_latest, corrupt_route, op_breakdown,
         distinct_partitions, unknown_attributes, enrich_event_date, stream_replay_eav, table_history, verify_report, trace_event,
+        eav_decode_floats, eav_attribute_delete, lenient_casts, event_ids, unique_event_ids, null_first_key, dead_letters, several_tables, partitioned_table, partition_values, changed_columns, two_writers, key_range,
     ]
     return {f.__name__: f for f in found}

@@ -49,6 +49,8 @@ ATTEMPTS = 20
 BROADCAST_KEYS = 200_000
 #: Hours after which a write that was never committed is taken for dead.
 ORPHAN_HOURS = 48
+#: The folder of rows without a value of their partition column.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 #: Characters of a text that bounds a file's keys.
 BOUND_CHARS = 100
 
@@ -162,10 +164,17 @@ class SnapshotStore:
         joined = rows.join(newest, self._same(names), "left")
         return joined.filter("__newest is null or __seq = __newest").select(*(name for _, name, _ in columns.held))
 
-    def read(self, version: int | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
-        """The table as of a version (the latest by default), or only some of its buckets."""
+    def read(self, version: int | None = None, buckets: Iterable[int] | None = None, between: tuple | None = None) -> DataFrame:
+        """The table as of a version (the latest by default), or only some of its buckets, or the rows whose first
+        bucketing key lies between two values; then files that cannot have such rows are not opened."""
         record = self.latest() if version is None else self.log.record(version)
-        return self._rows(self.log.files(record["version"], buckets), from_record(record)) if record else empty_table(self.spark, self.spec)
+        if not record:
+            return empty_table(self.spark, self.spec)
+        files = self.log.files(record["version"], buckets)
+        if between is None:
+            return self._rows(files, from_record(record))
+        near = [f for f in files if f.may_hold(*between)]
+        return self._rows(near, from_record(record)).filter(F.col(self.spec.delete_keys[0]).between(*between))
 
     @staticmethod
     def _same(names: list[str]) -> list[Column]:
@@ -329,6 +338,22 @@ class SnapshotStore:
         whole, deltas = (sum(f.bytes for f in files if f.delta == d) for d in (False, True))
         return deltas < DELTA_SHARE * whole and len({f.write for f in files if f.delta}) < DELTAS
 
+    def values(self, column: str) -> DataFrame:
+        """The sorted distinct values of a partition column, NULL left out.
+
+        Where a bucket has no deltas they stand in its files' paths and no file is opened; the rest is scanned.
+        """
+        record = self.latest()
+        files = self.log.files(record["version"]) if record else []
+        changed = {f.bucket for f in files if f.delta}
+        at = f"/{from_record(record).stored(column)}=" if record else ""
+        named = {unquote(f.path.split(at, 1)[1].split("/", 1)[0]) for f in files if f.bucket not in changed}
+        kind = dict(self.spec.wide)[column]
+        plain = self.spark.createDataFrame([(v,) for v in sorted(named - {_NO_VALUE})], f"`{column}` string").select(F.col(column).cast(kind).alias(column))
+        scanned = self._rows([f for f in files if f.bucket in changed], from_record(record)).select(column) if changed else None
+        every = plain if scanned is None else plain.unionByName(scanned)
+        return every.filter(F.col(column).isNotNull()).distinct().orderBy(column)
+
     def compact(self, buckets: int | None = None) -> int | None:
         """Rewrite the table without deltas, sorted by bucket, partition and key into files of about ``target_mb``, or with
         another number of buckets."""

@@ -69,7 +69,7 @@ def details(spark: SparkSession, spec: TableSpec, samples: int = 3, versions: in
         found["columns"] = spark.createDataFrame([(f.name, f.dataType.simpleString(), f.nullable) for f in table.schema.fields], "name string, type string, nullable boolean")
         found["rows"] = table.limit(samples)
         for column in dict.fromkeys([*spec.partition_by, *(c for c, _ in spec.keys)]):
-            found[f"values of {column}"] = distinct_values(table, column)
+            found[f"values of {column}"] = store.values(column) if column in spec.partition_by else distinct_values(table, column)
         found["history"] = store.history(versions)
     if _there(spark, spec.dead_letter_path):
         found["dead_letters"] = spark.read.option("recursiveFileLookup", "true").text(spec.dead_letter_path).limit(samples)
