@@ -12,11 +12,14 @@ import threading
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
+from pathlib import Path
 
+import yaml
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import EAV, JSON_EMBEDDED, PLAIN, TableSpec, build
+from .config import EAV, JSON_EMBEDDED, PLAIN, TableSpec, build, load_config
 from .functions.blob import encode_blob
 from .operators import envelope, shape
 from .plans.batch import plan_batch, replay
@@ -25,7 +28,7 @@ from .sources.generator import cell, event_lines
 from .streaming.runner import run, start
 from .streaming.store import SnapshotStore
 from .trace import trace_entity
-from .verify import distinct_values, report
+from .verify import details, distinct_values, report
 
 KINDS = ("click", "view", "purchase", "signup")
 CUTS = ("2024-01-11", "2024-01-21")
@@ -307,30 +310,70 @@ def verify_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(spark, {spec.name: spec})
 
 
-def _several(spark: SparkSession, sf_dir: str) -> dict[str, TableSpec]:
-    """Two tables and a disabled one, each with its stream; every document is a corrupt line of the second."""
-    base = _base(spark)
-    events, customers = _event_spec(base), replace(_plain("customer", "custkey", {"custkey": "bigint", "name": "text"}), bronze_path=f"{base}/topics/customer", silver_path=f"{base}/silver/customer", checkpoint_path=f"{base}/checkpoints/customer", dead_letter_path=f"{base}/dead-letter/customer")
-    off = replace(customers, name="off", enabled=False)
-    write_lines(_event_lines(_table(spark, sf_dir, "events")), events.bronze_path)
+def _configured(base: str, tables: dict[str, dict]) -> dict[str, TableSpec]:
+    """Tables by way of a YAML file, as users give them."""
+    with tempfile.TemporaryDirectory() as folder:
+        path = Path(folder) / "tables.yml"
+        places = {name: {"enabled": True, "kafka_topic": name, "partition_by": None, **{f"{f}_path": f"{base}/{f}/{name}" for f in ("silver", "checkpoint", "dead_letter")}, "bronze_path": f"{base}/topics/{name}"} for name in tables}
+        path.write_text(yaml.safe_dump({"tables": {name: places[name] | cfg for name, cfg in tables.items()}}))
+        return load_config(str(path))
+
+
+_CUSTOMER = {"type": PLAIN, "partition_keys": [{"name": "custkey", "type": "bigint"}], "clustering_keys": [], "merge_key": "custkey", "columns": [{"name": "custkey", "type": "bigint"}, {"name": "name", "type": "text"}]}
+
+
+def _events_table(kinds: tuple[str, ...]) -> dict:
+    return {"type": EAV, "merge_key": "user", "cassandra_key_field": "key", "attributes": {a: {"wide": a, "type": "int"} for a in kinds}}
+
+
+def _several(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, TableSpec]:
+    """Tables, each with its stream: events, customer, which has every document as a corrupt line, and a disabled one.
+
+    The streams run twice: the second run finds nothing new and makes no version.
+    """
+    every = {"events": _events_table(KINDS), "customer": _CUSTOMER, "off": _CUSTOMER | {"enabled": False}}
+    tables = _configured(_base(spark), {n: every[n] for n in names})
+    if "events" in names:
+        write_lines(_event_lines(_table(spark, sf_dir, "events")), tables["events"].bronze_path)
     good = _plain_lines(_table(spark, sf_dir, "customer"), F.lit(1), F.lit("i"), {"custkey": F.col("c_custkey"), "name": F.col("c_name")})
     bad = _table(spark, sf_dir, "documents").select(F.concat(F.lit("no event: "), F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]", " ")).alias("json_str"))
-    write_lines(good.unionByName(bad), customers.bronze_path)
-    tables = {t.name: t for t in (events, customers, off)}
-    run(spark, tables, once=True)
+    write_lines(good.unionByName(bad), tables["customer"].bronze_path)
+    for _ in range(2):
+        run(spark, tables, once=True)
     return tables
 
 
+def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run reports: attributes and topics that no table names, and a table that cannot start, which stops no other."""
+    base, seen = _base(spark), []
+    tables = _configured(base, {"events": _events_table(KINDS[:2]), "customer": _CUSTOMER | {"partition_by": "name"}})
+    write_lines(_event_lines(_table(spark, sf_dir, "events")), tables["events"].bronze_path)
+    lines = _plain_lines(_table(spark, sf_dir, "customer"), F.lit(1), F.lit("i"), {"custkey": F.col("c_custkey"), "name": F.col("c_name")})
+    write_lines(lines, f"{base}/topics/strange")
+    _kept(spark, lines, replace(tables["customer"], partition_by=()))
+    run(spark, tables, f"{base}/topics", seen.append, once=True)
+    rows = SnapshotStore(spark, tables["events"]).read().count()
+    found = [(a.kind, a.subject, ",".join(a.details.get("attributes", [])), a.details.get("events", 0), rows) for a in seen]
+    return spark.createDataFrame(found, "kind string, subject string, attributes string, events long, rows_of_events long")
+
+
+def table_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many rows each part of a table's details has: samples are of three rows, values and operations are all."""
+    parts = details(spark, _several(spark, sf_dir, "customer")["customer"])
+    counts = [frame.agg(F.lit(part).alias("part"), F.count(F.lit(1)).alias("rows")) for part, frame in parts.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a table's stream could not read, as it lies in the dead-letter folder."""
-    path = _several(spark, sf_dir)["customer"].dead_letter_path
+    path = _several(spark, sf_dir, "customer")["customer"].dead_letter_path
     found = spark.read.option("recursiveFileLookup", "true").schema("`table` string, batch_id bigint, reason string, json_str string").json(path)
     return found.select("table", "batch_id", "reason", F.md5("json_str").alias("line_md5"))
 
 
 def several_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report over several streams: counts of events, rows and dead letters; disabled tables are left out."""
-    return report(spark, _several(spark, sf_dir))
+    return report(spark, _several(spark, sf_dir, "events", "customer", "off"))
 
 
 def _stored_orders(spark: SparkSession, **changes: object) -> TableSpec:
@@ -467,6 +510,11 @@ SELECT k AS "user", {_each("max(CASE WHEN a = '@' THEN v END) AS @")}, max(t) AS
         "several_tables": """SELECT 'events' AS "table", 'EavSpec' AS type, (SELECT count(*) FROM events) AS bronze_events, true AS silver_exists, CAST(0 AS BIGINT) AS silver_version,
 (SELECT count(DISTINCT user_id) FROM events WHERE event_type <> 'error') AS silver_rows, CAST(0 AS BIGINT) AS dead_letters, true AS ok
 UNION ALL SELECT 'customer', 'PlainSpec', (SELECT count(*) FROM customer) + (SELECT count(*) FROM documents), true, 0, (SELECT count(*) FROM customer), (SELECT count(*) FROM documents), true""",
+        "stream_alerts": """WITH n AS (SELECT count(DISTINCT user_id) AS n FROM events WHERE event_type <> 'error')
+SELECT 'unknown_attribute' AS kind, 'events' AS subject, 'purchase,signup' AS attributes, (SELECT count(*) FROM events WHERE event_type IN ('purchase', 'signup')) AS events, n AS rows_of_events FROM n
+UNION ALL SELECT 'unknown_topic', 'strange', '', 0, n FROM n UNION ALL SELECT 'partition_change', 'customer', '', 0, n FROM n UNION ALL SELECT 'table_failure', 'customer', '', 0, n FROM n""",
+        "table_details": """SELECT 'operations' AS part, CAST(2 AS BIGINT) AS rows UNION ALL SELECT 'events', 3 UNION ALL SELECT 'columns', 5 UNION ALL SELECT 'rows', 3
+UNION ALL SELECT 'values of custkey', count(*) FROM customer UNION ALL SELECT 'history', 1 UNION ALL SELECT 'dead_letters', 3""",
         "partitioned_table": _order_sql(status="CASE WHEN o_orderkey % 4 = 0 THEN 'X' WHEN o_orderkey % 50 = 0 THEN 'Y' ELSE o_orderstatus END", t="CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END"),
         "partition_values": "SELECT DISTINCT CASE WHEN o_orderkey % 100 = 0 THEN '0-LATE' ELSE o_orderpriority END AS priority FROM orders",
         "changed_columns": "SELECT o_orderkey AS orderkey, CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 5000000000 ELSE o_custkey END AS custkey, o_orderpriority AS urgency, CASE WHEN o_orderkey % 5 = 0 THEN 'seen' END AS note, CASE WHEN o_orderkey % 5 = 0 THEN 2 ELSE 1 END::BIGINT AS event_timestamp FROM orders",
@@ -485,6 +533,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         eav_roundtrip_customer, eav_decode_types, eav_pivot_events, eav_upsert_batches, eav_event_time_ordering, json_expand_events, json_upsert,
         json_partition_delete, plain_upsert_nonnull, plain_upsert_presence, plain_soft_delete, plain_late_guard, dedup_latest, corrupt_route, op_breakdown,
         distinct_partitions, unknown_attributes, enrich_event_date, stream_replay_eav, table_history, verify_report, trace_event,
-        eav_decode_floats, eav_attribute_delete, lenient_casts, event_ids, unique_event_ids, null_first_key, dead_letters, several_tables, partitioned_table, partition_values, changed_columns, two_writers, key_range,
+        eav_decode_floats, eav_attribute_delete, lenient_casts, event_ids, unique_event_ids, null_first_key, dead_letters, several_tables, stream_alerts, table_details, partitioned_table, partition_values, changed_columns, two_writers, key_range,
     ]
     return {f.__name__: f for f in found}
