@@ -34,7 +34,7 @@ def test_nearest_are_exact():
     row, place = np.nonzero(dense)
     idf = rng.uniform(0.5, 4, v)
     ids, label = np.arange(size) * 3, rng.integers(0, 2, size)
-    index = ExampleIndex(np.arange(v).astype(np.uint64), idf, ids, label, row, place, dense[row, place], (1.0, 1.0))
+    index = ExampleIndex(np.arange(v).astype(np.uint64), idf, np.ones(v), ids, label, row, place, dense[row, place], (1.0, 1.0))
     weights = np.where(dense > 0, 1 + np.log(np.maximum(dense, 1)), 0) * idf
     weights /= np.maximum(np.linalg.norm(weights, axis=1, keepdims=True), 1e-300)
     weights = weights.astype(np.float32).astype(np.float64)  # as the index holds them
@@ -82,21 +82,25 @@ def brute(docs, labels):
         if i in label:
             seen[label[i]].update(c.keys())
 
-    def vector(c):
-        out = {}
-        for t, n in c.items():
-            a, b = seen[1][t], seen[0][t]
-            if a + b:
-                told = abs(math.log((a + 0.5) / (size[1] + 1)) - math.log((b + 0.5) / (size[0] + 1))) * math.sqrt(a + b)
-                out[t] = (1 + math.log(n)) * math.log(1 + len(docs) / df[t]) * told
+    def told(t):
+        a, b = seen[1][t], seen[0][t]
+        return abs(math.log((a + 0.5) / (size[1] + 1)) - math.log((b + 0.5) / (size[0] + 1))) * math.sqrt(a + b)
+
+    def vector(c, relevant):
+        out = {t: (1 + math.log(n)) * math.log(len(docs) / df[t]) * (told(t) if relevant else 1) for t, n in c.items() if seen[0][t] + seen[1][t]}
         norm = math.sqrt(sum(w * w for w in out.values())) or 1
         return {t: w / norm for t, w in out.items()}
 
-    vectors = {i: vector(c) for i, c in found.items()}
+    vectors = {i: vector(c, False) for i, c in found.items()}
+    telling = {i: vector(c, True) for i, c in found.items()}
+
+    def cosine(of, i, e):
+        return sum(w * of[e].get(t, 0) for t, w in of[i].items())
 
     def vote(i, known):
-        cosine = sorted(((sum(w * vectors[e].get(t, 0) for t, w in vectors[i].items()), e) for e in known), reverse=True)[:15]
-        near = [(c * c, label[e]) for c, e in cosine if c > 0]
+        nearest = [(c, e) for c, e in sorted(((cosine(vectors, i, e), e) for e in known), reverse=True)[:15] if c > 0]
+        close = [cosine(telling, i, e) for _, e in nearest]
+        near = [((r if any(close) else c) ** 2, label[e]) for r, (c, e) in zip(close, nearest)]
         return sum(w * y for w, y in near) / sum(w for w, _ in near) if near else None
 
     own = sorted((v, label[i]) for i in label if (v := vote(i, [e for e in label if e != i])) is not None)

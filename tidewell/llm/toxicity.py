@@ -2,9 +2,9 @@
 
 Learning.  A bounded sample of the labelled rows, ``EXAMPLES`` of each label by a hash of their
 doc_id, makes the examples.  Terms are all their words and the first ``STEMS`` bytes of longer ones.
-A term weighs its inverse document frequency, counted over all documents, times its relevance: how
-far apart its rates in the two labels are (log ratio) times the root of its example count.  No term
-is left out; a term that says nothing about the label only weighs little.
+In a text's vector a term weighs (1 + log of its count) times its inverse document frequency, the log of
+documents by documents that have it, over all documents.  No term of an example is left out; a term that no
+example has bears on no order of neighbours and is left out of a text's vector.
 
 Index.  Postings hold (example, weight) by term in blocks of ``BLOCK`` examples, with the largest
 weight of each block; those of frequent terms are dense, and many texts are looked up in them at
@@ -14,8 +14,10 @@ equal cosines are ordered by the example's place.  Texts are looked up one by on
 batches.  The index, its terms and the broadcast of it are as large as the texts of at most
 2 * EXAMPLES examples, whatever the size of the corpus.
 
-Score.  Neighbours vote with the square of their cosine, times what one example of their label
-stands for.  A vote becomes a score by the isotonic fit of the examples' labels on their own votes
+Score.  The K nearest examples by plain TF-IDF cosine vote, whatever their label.  A neighbour's vote weighs the
+square of its closeness in what matters for the label, times what one example of its label stands for: closeness
+is the cosine of the same vectors with each term also weighed by its relevance, which is how far apart its rates in
+the two labels are (log ratio) times the root of its example count.  A vote becomes a score by the isotonic fit of the examples' labels on their own votes
 (each without itself).  The nearest examples are the evidence.
 
 Edge cases: a text without a known term (so null and empty ones) gets the rate of such examples; a
@@ -83,10 +85,11 @@ def relevance(clean: np.ndarray, toxic: np.ndarray, n_clean: int, n_toxic: int)
 class ExampleIndex:
     """Examples' weighted vectors in a block-max inverted index, and the calibration of votes."""
 
-    def __init__(self, vocabulary: np.ndarray, weight_of_term: np.ndarray, ids: np.ndarray, label: np.ndarray, row: np.ndarray, place: np.ndarray, n: np.ndarray, stands_for: tuple[float, float]):
+    def __init__(self, vocabulary: np.ndarray, idf: np.ndarray, relevance: np.ndarray, ids: np.ndarray, label: np.ndarray, row: np.ndarray, place: np.ndarray, n: np.ndarray, stands_for: tuple[float, float]):
         # every executor keeps a copy on its disk, so numbers are as narrow as they can be
-        self.vocabulary, self.weight_of_term = vocabulary, weight_of_term
-        weight = self.weights(row, place, n, len(ids)).astype(np.float32)
+        self.vocabulary, self.weight_of_term, self.relevant = vocabulary, idf, idf * relevance
+        weight = self.weights(row, place, n, len(ids), idf).astype(np.float32)
+        telling = self.weights(row, place, n, len(ids), self.relevant).astype(np.float32)
         # like examples stand together, so that block maxima are tight
         main = np.full(len(ids), -1, np.int64)
         order = np.lexsort((-weight, row))
@@ -98,6 +101,9 @@ class ExampleIndex:
         back = np.empty(len(ids), np.int64)
         back[rank] = np.arange(len(ids))
         row = back[row]
+        order = np.lexsort((place, row))
+        self.telling, self.telling_place = telling[order], place[order].astype(np.int32)
+        self.telling_begin = np.searchsorted(row[order], np.arange(len(ids) + 1))
         order = np.lexsort((row, place))
         row, weight, place = row[order].astype(np.int32), weight[order], place[order]
         bare = np.ones(len(ids), bool)
@@ -119,9 +125,10 @@ class ExampleIndex:
         w = self.votes_of[bare]
         self.bare = float(((w * self.label[bare]).sum() + self.prior) / (w.sum() + 1))
 
-    def weights(self, row: np.ndarray, place: np.ndarray, n: np.ndarray, rows: int) -> np.ndarray:
+    @staticmethod
+    def weights(row: np.ndarray, place: np.ndarray, n: np.ndarray, rows: int, of_term: np.ndarray) -> np.ndarray:
         """The unit vectors of the rows."""
-        weight = (1 + np.log(n)) * self.weight_of_term[place]
+        weight = (1 + np.log(n)) * of_term[place]
         size = np.sqrt(np.bincount(row, weight**2, minlength=rows))
         return weight / np.where(size > 0, size, 1)[row]
 
@@ -170,8 +177,18 @@ class ExampleIndex:
             least = max(least, cosine[-1] if len(cosine) == k else 0.0)
         return best, cosine
 
-    def vote(self, example: np.ndarray, cosine: np.ndarray) -> float:
-        w = cosine**2 * self.votes_of[example]
+    def closeness(self, place: np.ndarray, telling: np.ndarray, example: np.ndarray, spare: np.ndarray) -> np.ndarray:
+        """Cosines of a text (its places and relevant weights) with examples; ``spare`` has a zero for each term."""
+        begin, size = self.telling_begin[example], np.diff(self.telling_begin)[example]
+        at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        spare[place] = telling
+        near = np.bincount(np.repeat(np.arange(len(example)), size), spare[self.telling_place[at]] * self.telling[at], minlength=len(example))
+        spare[place] = 0
+        return near
+
+    def vote(self, example: np.ndarray, cosine: np.ndarray, near: np.ndarray) -> float:
+        # neighbours that share nothing relevant vote by their plain cosine
+        w = (near if near.any() else cosine) ** 2 * self.votes_of[example]
         return float((w * self.label[example]).sum() / w.sum())
 
     def calibration(self, ids: np.ndarray, vote: np.ndarray) -> Calibration:
@@ -193,7 +210,8 @@ class ExampleIndex:
         """(vote, nearest examples, cosines) of each text, None without a neighbour; ``own`` are doc_ids to leave out."""
         rows = len(offsets) - 1
         row, place, n = counts(*terms(data, offsets), self.vocabulary)
-        weight = self.weights(row, place, n, rows)
+        weight, telling = (self.weights(row, place, n, rows, w) for w in (self.weight_of_term, self.relevant))
+        spare = np.zeros(len(self.vocabulary))
         out: list[tuple[float, np.ndarray, np.ndarray] | None] = [None] * rows
         first, common = 0, None
         cut = np.searchsorted(row, np.arange(rows + 1))
@@ -208,7 +226,7 @@ class ExampleIndex:
                 other = self.ids[example] != own[i]
                 example, cosine = example[other][:K], cosine[other][:K]
             if len(example):
-                out[i] = self.vote(example, cosine), example, cosine
+                out[i] = self.vote(example, cosine, self.closeness(place[mine], telling[mine], example, spare)), example, cosine
         return out
 
     def judge(self, data: np.ndarray, offsets: np.ndarray, knots: Calibration) -> tuple[np.ndarray, list[list[dict]]]:
@@ -260,7 +278,7 @@ def _term_counts(sample: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def _idf(docs: DataFrame, shared: Broadcast) -> np.ndarray:
-    """log(1 + documents / document frequency) of each term of the vocabulary, over all documents."""
+    """log(documents / document frequency) of each term of the vocabulary, over all documents."""
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -275,7 +293,7 @@ def _idf(docs: DataFrame, shared: Broadcast) -> np.ndarray:
     found = docs.select("text").mapInArrow(tally, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     times = np.zeros(len(shared.value) + 1)
     times[found.column("place").to_numpy()] = found.column("n").to_numpy()
-    return np.log1p(times[-1] / np.maximum(times[:-1], 1))
+    return np.log(times[-1] / np.maximum(times[:-1], 1))
 
 
 def _vectors(sample: DataFrame, shared: Broadcast) -> tuple[np.ndarray, ...]:
@@ -304,7 +322,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[Broadcast, Calibration]:
     have = [int((label == y).sum()) for y in (0, 1)]
     known = relevance(clean, toxic, *have) if all(have) else np.zeros(len(vocabulary))
     stands_for = tuple(total.get(y, 0) / max(1, have[y]) for y in (0, 1))
-    index = ExampleIndex(vocabulary, _idf(docs, known_terms) * known, ids, label, row, place, n, stands_for)
+    index = ExampleIndex(vocabulary, _idf(docs, known_terms), known, ids, label, row, place, n, stands_for)
     known_terms.destroy()
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
