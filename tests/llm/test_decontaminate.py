@@ -3,9 +3,10 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidewell.llm.blocks import U64
+from tidewell.llm.blocks import U64, text_buffer
 from tidewell.llm.decontaminate import RADIUS, ItemIndex, decontaminate, keep_clean
 
 
@@ -81,6 +82,27 @@ def test_multi_index_returns_all_within_the_radius():
     assert set(zip(who.tolist(), item.tolist())) == want
 
 
+def test_recall_at_the_threshold():
+    """Passages edited so far that they are just similar enough, at the head, the tail or within."""
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefghijklm", k=rng.randint(2, 9)))
+    for length in (13, 50, 130, 400):
+        most = (length - 4) // 9  # shingles that may be lost on either side
+        items = [[word() for _ in range(length)] for _ in range(100)]
+        index = ItemIndex([(i, " ".join(w)) for i, w in enumerate(items)])
+        texts = []
+        for i, w in enumerate(items):
+            n = most if i % 3 < 2 else max(0, most - 4)
+            at = {0: 0, 1: length - n, 2: length // 2}[i % 3]
+            edited = w[:at] + [word() for _ in range(n)] + w[at + n :]
+            both, every = (shingles(w) & shingles(edited)).total(), (shingles(w) | shingles(edited)).total()
+            assert both >= 0.8 * every
+            texts.append(" ".join([word() for _ in range(60)] + edited + [word() for _ in range(60)]))
+        found = index.match(*text_buffer(pa.array(texts)))
+        hits = [sum(i in found[i] for i in range(k, 100, 3)) / len(range(k, 100, 3)) for k in range(3)]
+        assert min(hits) >= 0.9 and sum(hits) / 3 >= 0.95, (length, hits)
+
+
 def test_whole_table(spark):
     docs, items = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     known = items.collect()

@@ -11,7 +11,7 @@ RADIUS // PARTS bits.  Two fingerprints within RADIUS bits agree within RADIUS /
 least one part, so a lookup of the four parts returns every item within the radius.  Candidates
 are verified on the exact shingle counts.
 
-The benchmark is read in blocks of at most ITEM_BLOCK items and WORD_BLOCK words, and ROUND_BLOCKS
+The benchmark is read in blocks of at most ITEM_BLOCK items and BYTE_BLOCK bytes (or one longer item), and ROUND_BLOCKS
 blocks are broadcast to one pass over the documents; see ``matches``.  Windows are verified one by
 one inside Arrow batches.
 
@@ -20,7 +20,9 @@ punctuation and line breaks do not hide a passage.  Edge cases: a document short
 is one window; an item with fewer than five words is one shingle; items without words or with a
 null id are ignored; null and empty texts are clean; repeated rows each get their row; other
 columns are ignored; an empty benchmark leaves every document clean; an empty table of documents
-gives an empty result.
+gives an empty result; a null doc_id is carried through; of windows that fit an item equally well the first one
+counts, and of items that fit equally well the one whose window starts first.  A very long text is one block of its
+own, so memory follows the longest text.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ from .common import ship_package, stored, without
 SIMILARITY = 0.8
 SHINGLE = 5
 PARTS, PART_BITS, RADIUS = 4, 16, 15
-ITEM_BLOCK, WORD_BLOCK, ROUND_BLOCKS = 2000, 500_000, 4
+ITEM_BLOCK, BYTE_BLOCK, ROUND_BLOCKS = 2000, 4_000_000, 4
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,8 +168,8 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     block: list[tuple[int, str]] = []
     size = 0
     for r in benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("item_id is not null and text is not null").toLocalIterator():
-        n = r["text"].count(" ") + 1
-        if block and (len(block) == ITEM_BLOCK or size + n > WORD_BLOCK):
+        n = len(r["text"].encode())
+        if block and (len(block) == ITEM_BLOCK or size + n > BYTE_BLOCK):
             yield block
             block, size = [], 0
         block.append((r["item_id"], r["text"]))

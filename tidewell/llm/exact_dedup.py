@@ -11,7 +11,8 @@ Texts are equal when they are identical after lower-casing A-Z; null counts as e
 with the largest doc_id stays.  Defined edge cases: a null doc_id never wins over a number, and a
 group of null doc_ids only has keep_id null and keeps its rows; rows that repeat a doc_id and
 text are counted, and all are marked alike (the stage form keeps one of them); an empty table
-gives an empty result; other columns are ignored, whatever their names.
+gives an empty result; other columns are ignored, whatever their names.  Only digests travel, so a very
+long text is hashed where it lies and moves nowhere.
 """
 
 from __future__ import annotations

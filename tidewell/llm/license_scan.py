@@ -16,7 +16,8 @@ Words are runs of digits, ASCII letters and non-ASCII characters after lower-cas
 counts as empty.  A text without a match has n_base 0, null first_word and last_word, empty labels
 and score 0.  Repeated rows each get their row; other columns are ignored; a template matches as
 often as it occurs.  score is the largest share of a template's runs found in one verified span.  An empty table gives an
-empty result.
+empty result.  A null doc_id is carried through.  A very long text is cut by Spark's own expressions, one row at a time, so
+memory follows the longest text.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ strays with hot buckets are spread by joins that split skewed keys, and buckets
 Edge cases: null text, empty text and text without words have an empty set, n_shingles 0, and are
 a group of their own; rows that repeat a doc_id are rows of their own; a null doc_id never names a
 component unless all its members are null; an empty table gives an empty result; other columns are
-ignored.
+ignored.  Texts are handled in blocks of bounded size, a longer text in one of its own, so memory follows the
+longest text, and a pair is verified on both texts.
 """
 
 from __future__ import annotations
@@ -272,9 +273,10 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     bodies = _bodies(docs, classes, entries)
     links = stored(_verified(_near(entries.select(F.col("hub").alias("u"), F.col("node").alias("v")), bodies, percent), bodies, percent), "links")
     label = stored(connected_components(links), "label")
-    members = entries.select("bucket", "node")
+    discard(links)
+    source = entries
     for turn in range(HUB_ROUNDS + 1):
-        marked = stored(members.join(label, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")), "marked")
+        marked = stored(source.select("bucket", "node").join(label, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component")), "marked")
         draw = F.xxhash64("node", F.lit(turn))
         by_part = marked.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("size"), F.min_by("node", draw).alias("hub"), F.min(draw).alias("draw"))
         total = by_part.groupBy("bucket").agg(
@@ -283,8 +285,10 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         opened = stored(marked.join(total.filter("parts > 1").drop("parts"), "bucket"), "opened")
         work = opened.agg(F.sum(F.when(F.col("component") != F.col("main"), F.col("all"))).alias("compared"), F.count(F.lit(1)).alias("rows")).first()
         discard(marked)
+        discard(source)
+        source = opened
         if not work["rows"]:
-            return label
+            break
         last = turn == HUB_ROUNDS or work["compared"] <= PASS_PAIRS * work["rows"]
         if last:
             near = _met(opened, bodies, percent)
@@ -292,9 +296,11 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             near = _near(opened.filter("node <> hub").select(F.col("hub").alias("u"), F.col("node").alias("v")), bodies, percent)
         links = stored(_verified(near, bodies, percent), "links")
         label = _joined(label, links)
+        discard(links)
         if last:
             break
-        members = opened.select("bucket", "node")
+    discard(source)
+    discard(bodies)
     return label
 
 
@@ -306,7 +312,10 @@ def _joined(label: DataFrame, links: DataFrame) -> DataFrame:
     outer = stored(connected_components(pairs).select(F.col("node").alias("was"), F.col("component").alias("now")), "outer")
     old = label.join(outer, label["component"] == outer["was"], "left").select("node", F.coalesce("now", "component").alias("component"))
     new = outer.join(label.select("node"), outer["was"] == label["node"], "left_anti").select(F.col("was").alias("node"), F.col("now").alias("component"))
-    return stored(old.unionByName(new), "label")
+    out = stored(old.unionByName(new), "label")
+    for spent in (pairs, outer, label):
+        discard(spent)
+    return out
 
 
 def minhash_groups(docs: DataFrame, percent: int = 85) -> DataFrame:

@@ -13,6 +13,7 @@
 
 Edge cases: null and empty texts are one piece holding just the end id; repeated rows and rows with
 a null doc_id are packed like any others, each on its own; an empty table gives an empty result; other columns are ignored.
+A very long text is tokenised as one block of its own and cut into as many pieces as it takes.
 """
 
 from __future__ import annotations
@@ -225,10 +226,10 @@ def _ranked(cut: DataFrame, histogram: dict[int, int]) -> DataFrame:
     """``cut`` with rank: a number from 0 within the pieces of each length."""
     # one row for each length, so at most as many as a sequence has tokens
     salts = cut.sparkSession.createDataFrame([(x, -(-n // RANK_ROWS)) for x, n in histogram.items()], "length long, salts long")
-    salted = cut.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), "salts")).drop("salts")
+    salted = cut.join(F.broadcast(salts), "length").withColumn("salt", F.pmod(F.xxhash64("row"), "salts")).drop("salts")
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     base = salted.groupBy("length", "salt").agg(F.count(F.lit(1)).alias("n")).select("length", "salt", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("length", "salt").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "salt").orderBy("row")
     return salted.withColumn("nth", F.row_number().over(within) - 1).join(base, ["length", "salt"]).withColumn("rank", F.col("base") + F.col("nth"))
 
 
@@ -236,7 +237,8 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece."""
     spark = docs.sparkSession
     ship_package(spark)
-    cut = stored(pieces(docs, vocabulary, capacity), "pieces")
+    # rows may repeat in every column, so they get numbers, which are fixed once they are written
+    cut = stored(pieces(docs, vocabulary, capacity).withColumn("row", F.monotonically_increasing_id()), "pieces")
     histogram = {int(r["length"]): int(r["n"]) for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     layout = spark.sparkContext.broadcast(_layout(plan(histogram, capacity)))
 

@@ -25,7 +25,8 @@ doc_id with several labels counts as toxic if any says so; rows with a null labe
 are not learned from; without examples of both labels no term says anything, so every score is the
 share of toxic examples, or 0 if there are none; an empty table of labels is such a case, an empty
 table of documents gives an empty result; a null doc_id is never held out; repeated rows each get
-their row; other columns are ignored.
+their row; other columns are ignored.  A very long text is a block of its own, so memory follows the longest text; so does the
+index if a very long text is an example.
 """
 
 from __future__ import annotations
