@@ -2,6 +2,12 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; all but the last return
 the columns of documents, the last returns the packed pieces.
+
+What a stage decides of nulls, empty and very long texts, ties and repeated rows is stated by its operator:
+in short, a text that is null or has no letter has no language and goes at the first stage, of rows that are equal or
+near copies one stays (with the largest doc_id among equal texts, the smallest among near ones, and one row where
+several have it), a null doc_id is kept like any other, and an empty table passes every stage as an empty table.
+Columns beyond those of documents, whatever their names, are carried up to the last stage.
 """
 
 from __future__ import annotations
