@@ -44,11 +44,11 @@ from .common import doc_remainder, ship_package, stored
 
 #: At most so many labelled rows of each label are learned from.
 EXAMPLES = 2000
-STEMS, BLOCK, K = (4, 7), 64, 15
+STEMS, BLOCK, K = (4, 7), 256, 15
 #: Terms in more than one of DENSE examples have their postings as one number for every example.
 DENSE = 8
 #: Blocks that are scored together, and rows whose frequent terms are looked up together.
-BLOCKS_AT_ONCE, ROWS = 64, 128
+BLOCKS_AT_ONCE, ROWS = 16, 128
 THRESHOLD = 0.3
 Calibration = tuple[np.ndarray, np.ndarray]
 _NEAR = "array<struct<doc_id:bigint,similarity:double>>"
@@ -67,11 +67,30 @@ def terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.concatenate(value), np.concatenate(owner)
 
 
+_HEAD_BITS = 18
+_STARTS: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
+
+
+def _starts(vocabulary: np.ndarray) -> tuple[np.ndarray, int]:
+    """(first place of the terms with each head, the most terms of one head) of a sorted vocabulary."""
+    known = _STARTS.get(id(vocabulary))
+    if known is None or known[0] is not vocabulary:
+        begin = np.searchsorted(vocabulary, np.arange(1 << _HEAD_BITS, dtype=U64) << U64(64 - _HEAD_BITS))
+        _STARTS.clear()
+        _STARTS[id(vocabulary)] = known = vocabulary, begin, int(np.diff(np.r_[begin, len(vocabulary)]).max())
+    return known[1], known[2]
+
+
 def counts(term: np.ndarray, row: np.ndarray, vocabulary: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, place in the sorted vocabulary, times) of the known terms, by row and place."""
     if not len(vocabulary) or not len(term):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at = np.minimum(np.searchsorted(vocabulary, term), len(vocabulary) - 1)
+    # terms are spread evenly, so their first bits tell about where to look
+    begin, steps = _starts(vocabulary)
+    at = begin.take((term >> U64(64 - _HEAD_BITS)).astype(np.int64))
+    for _ in range(steps):
+        at += vocabulary.take(at, mode="clip") < term
+    at = np.minimum(at, len(vocabulary) - 1)
     known = vocabulary[at] == term
     both, n = np.unique(row[known] * len(vocabulary) + at[known], return_counts=True)
     return both // len(vocabulary), both % len(vocabulary), n
@@ -149,9 +168,9 @@ class ExampleIndex:
         place, weight = place[rare], weight[rare]
         begin, size = self.term_begin[place].astype(np.int64), (self.term_begin[place + 1] - self.term_begin[place]).astype(np.int64)
         entry = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
-        own, home = np.repeat(weight, size), self.block[entry]
+        own, home = np.repeat(weight, size), self.block.take(entry)
         firsts = np.arange(0, len(self.ids), BLOCK)
-        bound = np.maximum.reduceat(common, firsts) + np.bincount(home, own * self.block_max[entry], minlength=len(firsts))
+        bound = np.maximum.reduceat(common, firsts) + np.bincount(home, own * self.block_max.take(entry), minlength=len(firsts))
         turn = np.argsort(-bound, kind="stable")
         turn = turn[bound[turn] > 0]
         # a cosine is no less than its part from the frequent terms
@@ -164,10 +183,11 @@ class ExampleIndex:
             done += step
             use = slice(None) if step == len(bound) else chosen[home]
             at = entry[use]
-            a = self.post_begin[at].astype(np.int64)
-            length = self.post_begin[at + 1].astype(np.int64) - a
-            post = np.repeat(a - (np.cumsum(length) - length), length) + np.arange(length.sum())
-            score = np.bincount(self.example[post], np.repeat(own[use], length) * self.weight[post], minlength=len(self.ids)) + common
+            a = self.post_begin.take(at).astype(np.int64)
+            length = self.post_begin.take(at + 1) - a
+            post = np.repeat(a - (np.cumsum(length) - length), length)
+            post += np.arange(len(post))
+            score = np.bincount(self.example.take(post), np.repeat(own[use], length) * self.weight.take(post), minlength=len(self.ids)) + common
             score *= chosen[self.block_of]
             floor = max(least, np.partition(score, -k)[-k] if len(score) > k else 0.0)
             found = np.flatnonzero((score >= floor - 1e-9) & (score > 0))
@@ -180,10 +200,11 @@ class ExampleIndex:
 
     def closeness(self, place: np.ndarray, telling: np.ndarray, example: np.ndarray, spare: np.ndarray) -> np.ndarray:
         """Cosines of a text (its places and relevant weights) with examples; ``spare`` has a zero for each term."""
-        begin, size = self.telling_begin[example], np.diff(self.telling_begin)[example]
-        at = np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())
         spare[place] = telling
-        near = np.bincount(np.repeat(np.arange(len(example)), size), spare[self.telling_place[at]] * self.telling[at], minlength=len(example))
+        near = np.empty(len(example))
+        for k, e in enumerate(example.tolist()):
+            mine = slice(self.telling_begin[e], self.telling_begin[e + 1])
+            near[k] = spare.take(self.telling_place[mine]) @ self.telling[mine]
         spare[place] = 0
         return near
 
