@@ -45,8 +45,8 @@ _HISTORY = "version bigint, timestamp bigint, operation string, metrics map<stri
 DELTA_SHARE, DELTAS = 0.5, 16
 #: Attempts of a batch whose buckets others keep changing.
 ATTEMPTS = 20
-#: Keys of deltas that are surely small enough to send to all tasks; beyond, Spark decides by their measured size.
-BROADCAST_KEYS = 200_000
+#: Rows and bytes of deltas whose keys are surely small enough to send to all tasks; beyond, Spark decides by their measured size.
+BROADCAST_KEYS, BROADCAST_BYTES = 200_000, 8 << 20
 #: Hours after which a write that was never committed is taken for dead.
 ORPHAN_HOURS = 48
 #: The folder of rows without a value of their partition column.
@@ -159,7 +159,7 @@ class SnapshotStore:
             return rows.drop("__seq")
         names = [c for c, _ in self.spec.keys]
         newest = self._scan(changed, columns).groupBy(*(F.col(c).alias(f"__k_{c}") for c in names)).agg(F.max("__seq").alias("__newest"))
-        if sum(f.rows for f in changed) <= BROADCAST_KEYS:
+        if sum(f.rows for f in changed) <= BROADCAST_KEYS and sum(f.bytes for f in changed) <= BROADCAST_BYTES:
             newest = F.broadcast(newest)
         joined = rows.join(newest, self._same(names), "left")
         return joined.filter("__newest is null or __seq = __newest").select(*(name for _, name, _ in columns.held))
