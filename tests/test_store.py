@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.test_config import JSON, PLAIN
 from tests.test_tables import PILOTS, USERS, attr, dead_letters, line, lines, placed, rows  # noqa: F401
+from tidewell.__main__ import session
 from tidewell.config import build
 from tidewell.plans.batch import plan_batch, replay
 from tidewell.sources.bronze import write_lines
@@ -213,7 +214,9 @@ def test_partition_values_come_from_the_log(spark, placed):  # noqa: F811
     store.merge(put(spark, spec, [9000], "once"))
     store.merge(put(spark, spec, [9000], "moved", 2))
     assert rows(store.values("name"), "name") == [("a/b",), ("c d",), ("moved",), ("é%",)]
-    assert store.read().count() == 4001
+    assert store.read().count() == 4001 and [tuple(r) for r in store.count("n").collect()] == [(4001,)] and scans(store.count()) == 2
+    store.compact()
+    assert scans(store.count()) == 0 and store.count().first().rows == 4001 and SnapshotStore(spark, replace(spec, silver_path=spec.silver_path + "-none")).count().first().rows == 0
 
 
 def test_long_text_keys_and_null_keys_are_never_skipped(spark, placed):  # noqa: F811
@@ -303,6 +306,21 @@ def test_a_failing_batch_is_tried_again(spark, placed, monkeypatch):  # noqa: F8
     assert [a.kind for a in alerts] == ["table_failure"] and "for a moment" in dead_letters(spark, spec, 1).first().reason
 
 
+def test_a_failing_expire_harms_no_batch(spark, placed, monkeypatch):  # noqa: F811
+    spec, alerts = replace(placed(PILOTS), keep_versions=1), []
+    monkeypatch.setattr(SnapshotStore, "expire", lambda self, keep: 1 / 0)
+    write_lines(lines(spark, line(1, "i", id=1, name="a")), spec.bronze_path)
+    runner.start(spark, spec, alerts.append, once=True).awaitTermination()
+    assert not alerts and rows(SnapshotStore(spark, spec).read(), "id") == [(1,)]
+
+
+def test_the_command_line_sets_what_nobody_set(spark):
+    name = "spark.sql.streaming.fileSource.log.cleanupDelay"
+    before = spark.conf.get(name)
+    assert session() is spark and spark.conf.get(name) == "60000" and spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    spark.conf.set(name, before)
+
+
 def test_prefix_tombstones_parse_each_batch_once(spark):
     spec = build("w", JSON)
     first = lines(spark, *(line(1, "i", country=c, minute=str(m), j='{"temp": 1}') for c in ("US", "DE") for m in range(3)))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 from .config import load_config
@@ -18,6 +17,15 @@ from .verify import details, report
 DEFAULTS = {"spark.sql.session.timeZone": "UTC", "spark.sql.streaming.fileSource.log.cleanupDelay": "60000", "spark.sql.adaptive.enabled": "true"}
 
 
+def session() -> SparkSession:
+    spark = SparkSession.builder.appName("tidewell").getOrCreate()
+    given = spark.sparkContext.getConf()
+    for name, value in DEFAULTS.items():
+        if not given.contains(name):
+            spark.conf.set(name, value)
+    return spark
+
+
 def main() -> None:
     parser = argparse.ArgumentParser(prog="tidewell")
     parser.add_argument("command", choices=["run", "verify", "trace"])
@@ -28,11 +36,7 @@ def main() -> None:
     parser.add_argument("--entity", help="trace: the first key of the entity; one is sampled by default")
     args = parser.parse_args()
     tables = {n: s for n, s in load_config(args.config).items() if args.table in (None, n)}
-    builder = SparkSession.builder.appName("tidewell")
-    for name, value in DEFAULTS.items():
-        if not SparkConf().contains(name):  # what spark-submit or spark-defaults.conf set goes first
-            builder = builder.config(name, value)
-    spark = builder.getOrCreate()
+    spark = session()
     if args.command == "verify":
         report(spark, tables).show(truncate=False)
         for name, spec in tables.items():

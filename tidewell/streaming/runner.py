@@ -69,13 +69,21 @@ def handler(spec: TableSpec, alert: AlertSink = log_sink, on_counts: Callable[[i
                 version = store.merge(plan, query_id, batch_id, seen=seen)
                 # old versions go at once where that is cheap, else when the files have just been listed
                 if spec.keep_versions and version is not None and (store.buckets <= SMALL or version % LISTED == LISTED - 1):
-                    store.expire(spec.keep_versions)
+                    _expire(store, spec)
         finally:
             plan.routed.unpersist()
 
     return handle
 
 
+def _expire(store: SnapshotStore, spec: TableSpec) -> None:
+    """Delete old versions; the batch is committed, so a failure only leaves them for the next time."""
+    try:
+        store.expire(spec.keep_versions)
+    except Exception:  # noqa: BLE001
+        log.exception("%s: old versions could not be deleted", spec.name)
+
+
 def isolated(handle: Handler, spec: TableSpec, alert: AlertSink = log_sink) -> Handler:
     """``handle`` such that a failing batch is tried again ``spec.retries`` times, then dead-lettered whole, and the stream goes on.
 

@@ -338,6 +338,16 @@ class SnapshotStore:
         whole, deltas = (sum(f.bytes for f in files if f.delta == d) for d in (False, True))
         return deltas < DELTA_SHARE * whole and len({f.write for f in files if f.delta}) < DELTAS
 
+    def count(self, name: str = "rows") -> DataFrame:
+        """One row with the number of rows: the log knows it of buckets without deltas, and only the others are scanned."""
+        record = self.latest()
+        files = self.log.files(record["version"]) if record else []
+        changed = {f.bucket for f in files if f.delta}
+        known = F.lit(sum(f.rows for f in files if f.bucket not in changed)).cast("bigint")
+        if not changed:
+            return self.spark.range(1).select(known.alias(name))
+        return self._rows([f for f in files if f.bucket in changed], from_record(record)).agg((F.count(F.lit(1)) + known).alias(name))
+
     def values(self, column: str) -> DataFrame:
         """The sorted distinct values of a partition column, NULL left out.
 
